@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from moneyflow.llm.common import table
 
@@ -17,8 +17,16 @@ def op1_token_store(spark: SparkSession, sf_dir: str, tokenizer: str = "word_bpe
     return stored_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(tokenizer), end_id=1)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from moneyflow.llm.simhash import near_duplicates
+
+    out = near_duplicates(table(spark, sf_dir, "documents"), words=4, budget=4)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op2_simhash": op2_simhash,
 }
 
 SQL: dict[str, str] = {}

@@ -74,7 +74,7 @@ class Segment:
         """Ones before bit i."""
         block = i // RANK_STEP
         from_byte, whole = block * RANK_STEP // 8, i // 8
-        n = int(ones[block]) + int(np.unpackbits(bits[from_byte:whole]).sum())
+        n = int(ones[block]) + int(np.unpackbits(bits[from_byte:whole]).sum(dtype=np.int64))
         return n + (int(bits[whole]) & ((1 << i % 8) - 1)).bit_count() if i % 8 else n
 
     def token(self, i: int) -> int:
