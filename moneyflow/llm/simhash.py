@@ -63,18 +63,24 @@ def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_c
 
 
 def trie_forest(group: np.ndarray, fp: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links within groups: places (i, root) with root the first place of i's component.
+    """Spanning links within groups: places (i, j) of linked rows that connect all that is linked.
 
     ``fp`` is unsigned; rows are sorted by (group, fp) and distinct in both.
     """
-    parent = np.arange(len(fp))
-
-    def union(i: np.ndarray, j: np.ndarray) -> None:
-        while len(i):
-            i, j = parent[i], parent[j]
-            apart = i != j
-            i, j = i[apart], j[apart]
-            np.minimum.at(parent, np.maximum(i, j), np.minimum(i, j))
+    parent, taken = np.arange(len(fp)), [np.zeros((2, 0), dtype=np.int64)]
+
+    def union(pairs: np.ndarray) -> None:
+        while pairs.shape[1]:
+            roots = parent[pairs]
+            apart = roots[0] != roots[1]
+            pairs, roots = pairs[:, apart], roots[:, apart]
+            if not pairs.shape[1]:
+                return
+            high, low = roots.max(axis=0), roots.min(axis=0)
+            order = np.lexsort((low, high))
+            hooks = order[np.concatenate(([True], high[order][1:] != high[order][:-1]))]  # one for each higher root
+            parent[high[hooks]] = low[hooks]
+            taken.append(pairs[:, hooks])
             while not np.array_equal(up := parent[parent], parent):
                 parent[:] = up
 
@@ -89,9 +95,8 @@ def trie_forest(group: np.ndarray, fp: np.ndarray, budget: int) -> tuple[np.ndar
         la, ha, lb, hb, diff = pairs
         leaf = (ha - la == 1) & (hb - lb == 1)
         if leaf.any():
-            i, j = la[leaf], lb[leaf]
-            near = np.bitwise_count(fp[i] ^ fp[j]) <= budget
-            union(i[near], j[near])
+            ends = np.stack([la[leaf], lb[leaf]])
+            union(ends[:, np.bitwise_count(fp[ends[0]] ^ fp[ends[1]]) <= budget])
             la, ha, lb, hb, diff = pairs[:, ~leaf]
         if not len(la):
             continue
@@ -113,8 +118,8 @@ def trie_forest(group: np.ndarray, fp: np.ndarray, budget: int) -> tuple[np.ndar
         keep = (ha > la) & (hb > lb) & (diff <= budget) & ~((la == lb) & (ha - la < 2))
         nxt = nxt[:, keep]
         todo += [(depth + 1, nxt[:, at : at + CHUNK]) for at in range(0, nxt.shape[1], CHUNK)]
-    i = np.flatnonzero(parent != np.arange(len(fp)))
-    return i, parent[i]
+    i, j = np.concatenate(taken, axis=1)
+    return i, j
 
 
 def block_masks(fixed: int, budget: int) -> list[int]:
