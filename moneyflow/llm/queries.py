@@ -24,9 +24,24 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from moneyflow.llm.interleave import interleave
+
+    out = interleave(table(spark, sf_dir, "documents"), shards=16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from moneyflow.llm.line_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_simhash": op2_simhash,
+    "op3_interleave": op3_interleave,
+    "op4_line_dedup": op4_line_dedup,
 }
 
 SQL: dict[str, str] = {}
