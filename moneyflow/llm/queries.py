@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moneyflow.llm.common import table
+from moneyflow.llm.common import fold_of, table
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
@@ -37,11 +37,43 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from moneyflow.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.learning_rows())
+    out = toxicity.score(docs, model)
+    held_out = fold_of(F.col("doc_id"), 5) == 0
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from moneyflow.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, fold_of(F.col("doc_id"), 3) != 1)
+    out = langid.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from moneyflow.llm import quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), quality.learning_rows())
+    out = quality.score(docs, model)
+    held_out = fold_of(F.col("doc_id"), 3) == 1
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_simhash": op2_simhash,
     "op3_interleave": op3_interleave,
     "op4_line_dedup": op4_line_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op8_langid": op8_langid,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {}

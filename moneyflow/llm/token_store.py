@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moneyflow.llm.common import shared_path
+from moneyflow.llm.common import kept, shared_path
 
 MAGIC = b"DACSEG1\n"
 HEADER = struct.Struct(">8sQQQQQ")  # magic, tokens, tokens before in the task, task, documents, levels
@@ -180,7 +180,8 @@ def encode_to_files(
     rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, task, before = WordCachingEncoder(tokenizer_file), TaskContext.get().partitionId(), 0
+        encoder = kept(("encoder", tokenizer_file), lambda: WordCachingEncoder(tokenizer_file))
+        task, before = TaskContext.get().partitionId(), 0
         ids, doc_ids, counts, held = [], [], [], 0
         for batch in batches:
             texts, names = batch["text"].tolist(), batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None).tolist()
