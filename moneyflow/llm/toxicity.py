@@ -15,6 +15,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,7 @@ BITS, SEED, PREFIXES = 18, 5, (4, 5, 6, 7)
 SIGNS = re.compile(r"[\W\d_]+")
 
 
+@lru_cache(maxsize=100_000)
 def word_features(word: str) -> list[int]:
     """Buckets of a word, case-folded and without signs: the word and its prefixes."""
     w = word.lower()
@@ -48,8 +50,12 @@ class ToxicityModel:
     bias: float
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, features: int = 1024, steps: int = 300, l1: float = 1e-3) -> ToxicityModel:
-    """The non-negative estimator with the logistic loss, by proximal Adam steps; neutral without both samples."""
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, features: int = 96, steps: int = 300, l1: float = 0.05) -> ToxicityModel:
+    """The non-negative estimator with the logistic loss, by proximal Adam steps; neutral without both samples.
+
+    Weights go to the ``features`` words and prefixes that are most over-represented among the positives, by
+    the z-score of the difference in document rates: in long texts, many weak features would add up to noise.
+    """
     weights = np.zeros(1 << BITS, dtype=np.float32)
     if not positive or not unlabelled:
         return ToxicityModel(weights, float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))))
@@ -61,7 +67,8 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     rate_p, rate_u = (p + 0.5) / (len(positive) + 1), (u + 0.5) / (len(unlabelled) + 1)
     spread = np.sqrt(rate_u * (1 - rate_u) * (1 / len(positive) + 1 / len(unlabelled)))
     z = np.where(p + u >= 5, (rate_p - rate_u) / spread, 0)
-    chosen = np.argsort(-z, kind="stable")[: features]
+    chosen = np.argsort(-z, kind="stable")[:features]
+    chosen = chosen[z[chosen] > 4]
     place = np.full(1 << BITS, -1)
     place[chosen] = np.arange(len(chosen))
 
