@@ -56,6 +56,12 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from moneyflow.llm.media import stored_payloads
+
+    return stored_payloads(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from moneyflow.llm import quality
 
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_langid": op8_langid,
+    "op9_media": op9_media,
     "op10_quality": op10_quality,
 }
 
