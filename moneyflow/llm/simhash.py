@@ -25,7 +25,7 @@ from moneyflow.llm.common import stash
 from moneyflow.llm.graph import components
 
 GROUP_LIMIT = 1 << 13
-CHUNK = 1 << 18
+CHUNK = 1 << 15
 
 
 def fingerprint(text: str, words: int) -> int:
@@ -137,44 +137,47 @@ def _signed(x: int) -> int:
 def _bucket_pass(rows: DataFrame, budget: int) -> DataFrame:
     """Rows (mask, key, fp) to (a, b, mask): a link if mask is 0, else a row of an over-full bucket."""
 
-    def flush(held: list[pd.DataFrame]) -> pd.DataFrame:
-        d = pd.concat(held, ignore_index=True)
-        x = d["fp"].to_numpy().view(np.uint64)
-        new = (d["mask"].to_numpy()[1:] != d["mask"].to_numpy()[:-1]) | (d["key"].to_numpy()[1:] != d["key"].to_numpy()[:-1])
-        g = np.concatenate(([0], np.cumsum(new)))
-        order = np.lexsort((x, g))
-        i, j = trie_forest(g[order], x[order], budget)
-        s = x[order].view(np.int64)
-        return pd.DataFrame({"a": s[i], "b": s[j], "mask": np.zeros(len(i), dtype=np.int64)})
+    def forest(mask: np.ndarray, key: np.ndarray, fp: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Whole buckets: the links of small ones, the rows of over-full ones."""
+        cuts = np.flatnonzero(np.concatenate(([True], (mask[1:] != mask[:-1]) | (key[1:] != key[:-1]), [True])))
+        sizes = np.diff(cuts)
+        number, size = np.repeat(np.arange(len(sizes)), sizes), np.repeat(sizes, sizes)
+        over, some = size > GROUP_LIMIT, (size > 1) & (size <= GROUP_LIMIT)
+        if over.any():
+            yield pd.DataFrame({"a": fp[over], "b": fp[over], "mask": mask[over]})
+        if some.any():
+            x, g = fp[some].view(np.uint64), number[some]
+            order = np.lexsort((x, g))
+            i, j = trie_forest(g[order], x[order], budget)
+            own = x[order].view(np.int64)
+            yield pd.DataFrame({"a": own[i], "b": own[j], "mask": np.zeros(len(i), dtype=np.int64)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size, last, tail, full = [], 0, None, 0, False  # tail: rows of the last bucket so far; full: it is passed on
+        held, passing = [np.zeros((3, 0), dtype=np.int64)], None  # passing: an over-full bucket whose rows go by
         for b in batches:
-            new = np.flatnonzero((b["mask"].to_numpy()[1:] != b["mask"].to_numpy()[:-1]) | (b["key"].to_numpy()[1:] != b["key"].to_numpy()[:-1])) + 1
-            for lo, hi in zip([0, *new.tolist()], [*new.tolist(), len(b)], strict=True):
-                if hi == lo:
+            rows = np.stack([b["mask"].to_numpy(), b["key"].to_numpy(), b["fp"].to_numpy()])
+            if passing is not None:
+                same = (rows[0] == passing[0]) & (rows[1] == passing[1])
+                if same.any():
+                    yield pd.DataFrame({"a": rows[2, same], "b": rows[2, same], "mask": rows[0, same]})
+                rows = rows[:, ~same]
+                if not rows.shape[1]:
                     continue
-                part = b.iloc[lo:hi]
-                name = (part["mask"].iat[0], part["key"].iat[0])
-                if name != last:
-                    if size >= CHUNK:
-                        yield flush(held)
-                        held, size = [], 0
-                    last, tail, full, first = name, 0, False, len(held)
-                tail += hi - lo
-                if tail > GROUP_LIMIT and not full:
-                    for p in held[first:]:
-                        size -= len(p)
-                        yield pd.DataFrame({"a": p["fp"], "b": p["fp"], "mask": p["mask"]})
-                    del held[first:]
-                    full = True
-                if full:
-                    yield pd.DataFrame({"a": part["fp"], "b": part["fp"], "mask": part["mask"]})
-                else:
-                    held.append(part)
-                    size += hi - lo
-        if held:
-            yield flush(held)
+                passing = None
+            held.append(rows)
+            if sum(x.shape[1] for x in held) < 8 * GROUP_LIMIT:
+                continue
+            rows = np.concatenate(held, axis=1)
+            last = (rows[0] == rows[0, -1]) & (rows[1] == rows[1, -1])
+            yield from forest(*rows[:, ~last])
+            held = [rows[:, last]]
+            if held[0].shape[1] > GROUP_LIMIT:
+                passing = tuple(held[0][:2, 0].tolist())
+                yield from forest(*held[0])
+                held = [held[0][:, :0]]
+        rows = np.concatenate(held, axis=1)
+        if rows.shape[1]:
+            yield from forest(*rows)
 
     dealt = rows.repartition("mask", "key").sortWithinPartitions("mask", "key")
     return dealt.mapInPandas(run, "a long, b long, mask long")
