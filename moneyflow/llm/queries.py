@@ -37,6 +37,21 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_32k.model") -> DataFrame:
+    import public_tokenizers
+
+    from moneyflow.llm import pieces
+
+    path = public_tokenizers.path(model)
+    return pieces.describe(pieces.encode(table(spark, sf_dir, "documents"), path), path)
+
+
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from moneyflow.llm.decontam import contaminations
+
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from moneyflow.llm import toxicity
 
@@ -77,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_interleave": op3_interleave,
     "op4_line_dedup": op4_line_dedup,
+    "op5_pieces": op5_pieces,
+    "op6_decontam": op6_decontam,
     "op7_toxicity": op7_toxicity,
     "op8_langid": op8_langid,
     "op9_media": op9_media,
