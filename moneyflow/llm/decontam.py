@@ -11,6 +11,7 @@ Items and texts are compared lower-cased, with runs of white space as one space.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -18,6 +19,8 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from moneyflow.llm.common import kept
+
 
 def normal(text: str) -> str:
     return " ".join(text.lower().split())
@@ -123,45 +126,68 @@ class Matcher:
         return distance, a + end
 
 
+def item_blocks(benchmark: DataFrame, min_chars: int, block_chars: int) -> list[list[tuple[int, str]]]:
+    """(item_id, normal text) of the items long enough to match, in blocks of about ``block_chars`` characters."""
+    blocks: list[list[tuple[int, str]]] = [[]]
+    size = 0
+    for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull()).toLocalIterator():
+        text = normal(r["text"])
+        if len(text) >= min_chars:
+            if size + len(text) > block_chars and blocks[-1]:
+                blocks.append([])
+                size = 0
+            blocks[-1].append((r["item_id"], text))
+            size += len(text)
+    return [sorted(b, key=lambda x: (x[0] is None, x)) for b in blocks]
+
+
+RATE, MIN_CHARS, BLOCK_CHARS = 0.08, 40, 4_000_000
+
+
 def contaminations(
     docs: DataFrame,
     benchmark: DataFrame,
-    rate: float = 0.08,
-    min_chars: int = 40,
-    block_chars: int = 4_000_000,
+    rate: float = RATE,
+    min_chars: int = MIN_CHARS,
+    block_chars: int = BLOCK_CHARS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, item_id, distance, stop) for each document and item found in it, the best match only.
 
     ``stop`` is the match's end in the normal form of the document. Items shorter than ``min_chars`` in
-    normal form, null and empty items cannot be told from chance and match nothing. Items go in blocks of
-    about ``block_chars`` characters, each of which fits a worker; all documents meet all blocks. Null and
-    empty texts match nothing; rows that repeat a document or an item give rows for each.
+    normal form, null and empty items cannot be told from chance and match nothing. Items go in blocks, each
+    of which fits a worker; all documents meet all blocks. Null and empty texts match nothing; rows that
+    repeat a document or an item give rows for each.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    schema = "doc_id long, item_id long, distance int, stop long"
-    blocks: list[list[tuple[int, str]]] = [[]]
-    size = 0
-    for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull()).toLocalIterator():
-        text = normal(r["text"])
-        if len(text) >= min_chars:
-            if size + len(text) > block_chars and blocks[-1]:
-                blocks.append([])
-                size = 0
-            blocks[-1].append((r["item_id"], text))
-            size += len(text)
 
     def against(items: list[tuple[int, str]]) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(sorted(items, key=lambda x: (x[0] is None, x)))
+        shared, key = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            matcher = Matcher(shared.value, rate)
+            matcher = kept(("items", key), lambda: Matcher(shared.value, rate))
             for b in batches:
                 out = [(name, *found) for name, text in zip(b["doc_id"], b["text"], strict=True) for found in matcher.matches(text)]
                 d = pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "stop"])
                 yield d.astype({"doc_id": "Int64", "item_id": "Int64", "distance": "int32", "stop": "int64"})
 
-        return rows.mapInPandas(run, schema)
+        return rows.mapInPandas(run, "doc_id long, item_id long, distance int, stop long")
+
+    return reduce(DataFrame.unionAll, [against(b) for b in item_blocks(benchmark, min_chars, block_chars)])
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS, text_col: str = "text"
+) -> DataFrame:
+    """``docs`` without the documents that hold an item; rows are filtered in place, nothing is shuffled."""
+    for items in item_blocks(benchmark, min_chars, block_chars):
+        shared, key = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
+
+        def run(batches: Iterator[pd.DataFrame], shared=shared, key=key) -> Iterator[pd.DataFrame]:
+            matcher = kept(("items", key), lambda: Matcher(shared.value, rate))
+            for b in batches:
+                yield b[[not matcher.matches(t or "") for t in b[text_col]]]
 
-    return reduce(DataFrame.unionAll, [against(b) for b in blocks])
+        docs = docs.mapInPandas(run, docs.schema)
+    return docs
