@@ -7,24 +7,48 @@ texts are scored at the speed of a dictionary.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Text of one scoring step, in characters.
-STEP_CHARS = 1 << 21
+STEP_CHARS = 1 << 20
 
 
-@lru_cache(maxsize=100_000)
-def buckets_of(word: str, sizes: tuple[int, ...], bits: int) -> np.ndarray:
-    """Buckets of a word: the word itself and its n-grams between boundary signs."""
-    mask, w = (1 << bits) - 1, f"<{word}>"
-    grams = [w[i : i + n] for n in sizes for i in range(len(w) - n + 1)]
-    return np.array([zlib.crc32(g.encode()) & mask for g in (f"={word}", *grams)], dtype=np.int64)
+K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """An invertible scrambling of unsigned 64-bit numbers."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(32))) * K[3]
+        return x ^ (x >> np.uint64(29))
+
+
+def code_points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of all words as numbers, and the words' lengths."""
+    n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64), n
+
+
+def buckets_of(words: list[str], sizes: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, number of the word) for every word itself and its n-grams between boundary signs."""
+    points, n = code_points([f"<{w}>" for w in words])
+    starts, owner = np.cumsum(n) - n, np.repeat(np.arange(len(n)), n)
+    place, left = np.arange(len(points)) - starts[owner], n[owner]
+    with np.errstate(over="ignore"):
+        whole = np.add.reduceat(mixed(points * K[0] + place.astype(np.uint64) * K[1]), starts)
+        out, owners = [mixed(whole)], [np.arange(len(n))]
+        for size in sizes:
+            at = np.flatnonzero(place + size <= left)
+            h = np.full(len(at), size, dtype=np.uint64) * K[4]
+            for k in range(size):
+                h = mixed(h + points[at + k] * K[0])
+            out.append(h)
+            owners.append(owner[at])
+    return (np.concatenate(out) & np.uint64((1 << bits) - 1)).astype(np.int64), np.concatenate(owners)
 
 
 def document_features(text: str, clean: Callable[[str], str], sizes: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -35,10 +59,9 @@ def document_features(text: str, clean: Callable[[str], str], sizes: tuple[int,
             words[w] = words.get(w, 0) + 1
     if not words:
         return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.float32)
-    total = sum(words.values())
-    found = [buckets_of(w, sizes, bits) for w in words]
-    share = np.repeat([k / (total * len(b)) for k, b in zip(words.values(), found, strict=True)], [len(b) for b in found])
-    dense = np.bincount(np.concatenate(found), weights=share, minlength=1 << bits)
+    bucket, owner = buckets_of(list(words), sizes, bits)
+    share = np.array(list(words.values())) / (sum(words.values()) * np.bincount(owner))
+    dense = np.bincount(bucket, weights=share[owner], minlength=1 << bits)
     at = np.flatnonzero(dense)
     return at.astype(np.int32), dense[at].astype(np.float32)
 
@@ -62,22 +85,30 @@ def sampled(key: Column, fraction: float, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < int(fraction * (1 << 30))
 
 
-class WordScores(dict):
-    """word -> its row in ``rows``, which holds the sums of the weights of the word's buckets, and whether it counts."""
+class WordScores:
+    """Scores of words, computed for all new words of a step at once and kept while there is room."""
 
-    def __init__(self, weights: np.ndarray, clean: Callable[[str], str], sizes: tuple[int, ...], bits: int, room: int = 300_000):
-        super().__init__()
+    def __init__(self, weights: np.ndarray, clean: Callable[[str], str], sizes: tuple[int, ...], bits: int, room: int = 400_000):
         self.weights, self.clean, self.sizes, self.bits, self.room = weights, clean, sizes, bits, room
-        self.rows = np.zeros((1024, weights.shape[1] + 1))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.rows = np.zeros((1 << 12, self.weights.shape[1] + 1))  # sums of the models' weights; whether the word counts
 
-    def __missing__(self, word: str) -> int:
-        k = len(self)
-        if k == len(self.rows):
+    def _learn(self, new: list[str]) -> None:
+        first = len(self.place)
+        while first + len(new) > len(self.rows):
             self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
-        w = self.clean(word)
-        self.rows[k] = [*self.weights[buckets_of(w, self.sizes, self.bits)].mean(axis=0), 1] if w else 0
-        self[word] = k
-        return k
+        cleaned = [self.clean(w) for w in new]
+        some = np.array([k for k, w in enumerate(cleaned) if w], dtype=np.int64)
+        if len(some):
+            bucket, owner = buckets_of([cleaned[k] for k in some], self.sizes, self.bits)
+            n = np.bincount(owner)
+            for m in range(self.weights.shape[1]):
+                self.rows[first + some, m] = np.bincount(owner, weights=self.weights[bucket, m]) / n
+            self.rows[first + some, -1] = 1
+        self.place.update(zip(new, range(first, first + len(new)), strict=True))
 
     def means(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Mean word scores of each text (zeros without words), and its number of words."""
@@ -87,11 +118,15 @@ class WordScores(dict):
             size, to = 0, at
             while to < len(texts) and (to == at or size + len(texts[to]) <= STEP_CHARS):
                 size, to = size + len(texts[to]), to + 1
-            if len(self) > self.room:
-                self.clear()
             words = [t.split() for t in texts[at:to]]
             n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-            index = np.fromiter((self[w] for x in words for w in x), dtype=np.int64, count=int(n.sum()))
+            flat = [w for x in words for w in x]
+            if len(self.place) > self.room:
+                self._forget()
+            new = set(flat).difference(self.place)
+            if new:
+                self._learn(sorted(new))
+            index = np.fromiter(map(self.place.__getitem__, flat), dtype=np.int64, count=len(flat))
             some = np.flatnonzero(n)
             if len(some):
                 starts = np.concatenate(([0], np.cumsum(n)[:-1]))[some]

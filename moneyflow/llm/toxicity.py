@@ -12,36 +12,51 @@ from __future__ import annotations
 
 import re
 import uuid
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from moneyflow.llm.common import fold_of, kept
-from moneyflow.llm.subword import sampled
+from moneyflow.llm.subword import STEP_CHARS, K, code_points, mixed, sampled
 
 BITS, SEED, PREFIXES = 18, 5, (4, 5, 6, 7)
 SIGNS = re.compile(r"[\W\d_]+")
 
 
-@lru_cache(maxsize=100_000)
-def word_features(word: str) -> list[int]:
-    """Buckets of a word, case-folded and without signs: the word and its prefixes."""
+def folded(word: str) -> str:
+    """Case-folded and without signs and digits."""
     w = word.lower()
-    w = w if w.isalpha() else SIGNS.sub("", w)
-    if not w:
-        return []
-    mask = (1 << BITS) - 1
-    return [zlib.crc32(x.encode()) & mask for x in (f"={w}", *(f"^{w[:n]}" for n in PREFIXES if len(w) >= n))]
+    return w if w.isalpha() else SIGNS.sub("", w)
+
+
+def word_features(words: list[str]) -> np.ndarray:
+    """Buckets of folded, non-empty words: a row for each word, the word first, then its prefixes (-1: too short)."""
+    points, n = code_points(words)
+    starts, owner = np.cumsum(n) - n, np.repeat(np.arange(len(n)), n)
+    place = np.arange(len(points)) - starts[owner]
+    with np.errstate(over="ignore"):
+        sums = np.cumsum(mixed(points * K[0] + place.astype(np.uint64) * K[1]), dtype=np.uint64)
+        before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
+        columns = [mixed(sums[starts + n - 1] - before)]
+        for size in PREFIXES:
+            prefix = sums[starts + np.minimum(size, n) - 1] - before
+            columns.append(mixed(prefix + K[4]))
+    out = (np.stack(columns, axis=1) & np.uint64((1 << BITS) - 1)).astype(np.int32)
+    for k, size in enumerate(PREFIXES, 1):
+        out[n < size, k] = -1
+    return out
 
 
 def text_features(text: str) -> np.ndarray:
     """Distinct buckets of a whole text."""
-    return np.unique(np.array([f for w in set(text.split()) for f in word_features(w)], dtype=np.int32))
+    words = sorted({x for w in set(text.split()) if (x := folded(w))})
+    if not words:
+        return np.zeros(0, dtype=np.int32)
+    out = np.unique(word_features(words))
+    return out[out >= 0]
 
 
 @dataclass
@@ -119,16 +134,39 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_positive: int = 3
     return train(own(1), own(0), n_toxic / max(n, 1))
 
 
-class _WordWeights(dict):
-    """word -> the sum of its features' weights, for words that have any."""
-
-    def __init__(self, model: ToxicityModel, room: int = 400_000):
-        super().__init__()
-        self.weights, self.room = model.weights, room
-
-    def __missing__(self, word: str) -> tuple:
-        got = self[word] = tuple((f, float(self.weights[f])) for f in word_features(word) if self.weights[f])
-        return got
+class WordWeights:
+    """word -> ((feature, weight), ...) for its features with a weight; computed for all new words of a batch at once."""
+
+    def __init__(self, model: ToxicityModel, room: int = 500_000):
+        self.model, self.room = model, room
+        self.known: dict[str, tuple] = {}
+
+    def learn(self, words: set[str]) -> None:
+        if len(self.known) > self.room:
+            self.known = {}
+        new = sorted(words.difference(self.known))
+        self.known.update(dict.fromkeys(new, ()))
+        clean = [(w, x) for w in new if (x := folded(w))]
+        if clean:
+            found = word_features([x for _, x in clean])
+            weight = np.where(found >= 0, self.model.weights[found], 0)
+            for k in np.flatnonzero((weight != 0).any(axis=1)).tolist():
+                self.known[clean[k][0]] = tuple((int(f), float(x)) for f, x in zip(found[k], weight[k], strict=True) if x)
+
+    def sums(self, texts: list[str]) -> list[float]:
+        """Sum of the weights of each text's distinct features."""
+        out, at = [], 0
+        while at < len(texts):
+            size, to = 0, at
+            while to < len(texts) and (to == at or size + len(texts[to]) <= STEP_CHARS):
+                size, to = size + len(texts[to]), to + 1
+            sets = [set(t.split()) for t in texts[at:to]]
+            self.learn(set().union(*sets))
+            known = self.known
+            for words in sets:
+                out.append(sum(dict(x for w in words if (got := known[w]) for x in got).values()))
+            at = to
+        return out
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
@@ -136,16 +174,10 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = kept(("toxicity", key), lambda: _WordWeights(shared.value))
-        bias = shared.value.bias
+        words = kept(("toxicity", key), lambda: WordWeights(shared.value))
         for b in batches:
-            out = []
-            for t in b[text_col]:
-                if len(words) > words.room:
-                    words.clear()
-                found = dict(x for w in set((t or "").split()) for x in words[w])
-                out.append(1 / (1 + np.exp(-min(max(bias + sum(found.values()), -30), 30))))
-            yield b.assign(score=out)
+            total = np.array(words.sums([t or "" for t in b[text_col]]), dtype=float) + shared.value.bias
+            yield b.assign(score=1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double"
     return docs.mapInPandas(run, ddl)
