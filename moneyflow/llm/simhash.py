@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from moneyflow.llm.common import stash
 from moneyflow.llm.graph import components
@@ -193,13 +193,21 @@ def links(fps: DataFrame, budget: int = 4) -> DataFrame:
         some = out.where("mask = 0").select("a", "b")
         found = some if found is None else found.unionAll(some)
         over = out.where("mask != 0")
-        fixed = [r["mask"] for r in over.select("mask").distinct().collect()]  # one for each pair of blocks at most
-        if not fixed:
+        if not over.take(1):
             return found
-        finer: Column = F.lit(None).cast("array<long>")
-        for m in fixed:
-            finer = F.when(F.col("mask") == m, F.array(*[F.lit(_signed(x)) for x in block_masks(m % (1 << 64), budget)])).otherwise(finer)
-        todo = over.select(F.col("a").alias("fp"), F.explode(finer).alias("mask")).distinct()
+
+        def finer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known: dict[int, list[int]] = {}
+            for b in batches:
+                new = []
+                for m in b["mask"].tolist():
+                    if m not in known:
+                        known[m] = [_signed(x) for x in block_masks(m % (1 << 64), budget)]
+                    new.append(known[m])
+                n = [len(x) for x in new]
+                yield pd.DataFrame({"fp": np.repeat(b["a"].to_numpy(), n), "mask": np.array([m for x in new for m in x], dtype=np.int64)})
+
+        todo = over.select("a", "mask").mapInPandas(finer, "fp long, mask long").distinct()
     raise AssertionError("every pass fixes more bits, and few free bits leave no over-full bucket")
 
 
