@@ -146,7 +146,8 @@ def filing_foreign_entities(df: DataFrame) -> DataFrame:
 def _open_rows(df: DataFrame, array: str, index: str) -> DataFrame:
     """Members with whatever fields they have, as columns beside the key and the position."""
     rows = _exploded(df, array, ["filing_uuid"], index, "x")
-    own = [n for n in rows.schema["x"].dataType.fieldNames() if n not in ("filing_uuid", index, "_")]
+    kind = rows.schema["x"].dataType
+    own = [n for n in kind.fieldNames() if n not in ("filing_uuid", index, "_")] if isinstance(kind, StructType) else []
     return rows.select("filing_uuid", index, *[F.col(f"x.`{n}`").alias(n) for n in own])
 
 
