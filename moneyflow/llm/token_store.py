@@ -12,6 +12,9 @@ in the whole corpus is the sum over earlier tasks plus a local offset.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
 from collections.abc import Callable, Iterator
 
@@ -105,58 +108,104 @@ class Segment:
         return self.slice(0, self.n_tokens)
 
 
+#: A word of letters between runs of signs: each of the three parts is one token run of its own. Without the
+#: apostrophe, which begins contractions.
+PARTS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class WordCachingEncoder:
-    """Encodes with a tokenizer that never joins characters across ASCII white space, word by word.
+    """Encodes as the library does for whole texts, but asks it once for each distinct word.
 
-    The ids of each distinct word are computed once by the library itself and kept while the cache has
-    room; beyond that, the cache starts anew. Its ids equal those of encoding whole texts.
+    That holds for tokenizers with word ends, which drop white space and join nothing across it. Words of
+    plain letters and signs are put together from their parts (the letters in lower case), so that case and
+    punctuation make no new words; many parts go to the library in one text, cut apart at the word ends.
+    Other words go one by one. Caches start anew when full. Other kinds of tokenizers get whole texts.
     """
 
     def __init__(self, path: str, cache_words: int = 400_000):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.room = Tokenizer.from_file(path), cache_words
-        self.cache: dict[str, int] = {}
-        self.flat, self.used, self.offsets = np.zeros(1 << 16, dtype="<u4"), 0, [0]
-
-    def _learn(self, words: list[bytes]) -> None:
-        for start in range(0, len(words), 20_000):
-            some = words[start : start + 20_000]
-            for word, got in zip(some, self.tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False), strict=True):
-                ids = got.ids
-                while self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-                self.flat[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
-                self.cache[word] = len(self.offsets) - 1
-                self.offsets.append(self.used)
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.by_word = bool(suffix)
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if suffix:
+            self.is_end[[i for w, i in vocabulary.items() if w.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[bytes, int] = {}  # word -> its number
+        self.ids, self.starts = np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+        self.parts: dict[str, int] = {"": 0}
+        self.part_ids, self.part_starts = np.zeros(0, dtype="<u4"), np.zeros(2, dtype=np.int64)
+
+    @staticmethod
+    def _gather(ids: np.ndarray, starts: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all runs in ``index``, one after the other, and the runs' lengths."""
+        length = starts[index + 1] - starts[index]
+        ends = np.cumsum(length)
+        return ids[np.repeat(starts[index] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)], length
+
+    def _learn_parts(self, new: list[str]) -> None:
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            got = self.tokenizer.encode_batch_fast([" ".join(some[k : k + 200]) for k in range(0, len(some), 200)], add_special_tokens=False)
+            ids = np.concatenate([np.array(x.ids, dtype="<u4") for x in got])
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) != len(some):
+                raise ValueError("a part is not one token run")
+            self.parts.update(zip(some, range(len(self.part_starts) - 1, len(self.part_starts) - 1 + len(some)), strict=True))
+            self.part_starts = np.concatenate((self.part_starts, len(self.part_ids) + ends))
+            self.part_ids = np.concatenate((self.part_ids, ids))
+
+    def _learn(self, new: list[bytes]) -> None:
+        plain, split, other = [], [], []
+        for w in new:
+            t = w.decode()
+            m = PARTS.fullmatch(t)
+            if m and "<|" not in t:
+                a, b, c = m.groups()
+                plain.append(w)
+                split += (a, b.lower(), c)
+            else:
+                other.append((w, t))
+        unknown = set(split).difference(self.parts)
+        if unknown:
+            self._learn_parts(sorted(unknown))
+        index = np.fromiter(map(self.parts.__getitem__, split), dtype=np.int64, count=len(split))
+        ids, length = self._gather(self.part_ids, self.part_starts, index)
+        length = length.reshape(-1, 3).sum(axis=1)
+        if other:
+            got = [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)]
+            ids, length = np.concatenate((ids, *got)), np.concatenate((length, [len(x) for x in got]))
+        first = len(self.starts) - 1
+        self.words.update(zip([*plain, *(w for w, _ in other)], range(first, first + len(length)), strict=True))
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(length, dtype=np.int64)))
+        self.ids = np.concatenate((self.ids, ids.astype("<u4")))
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``end_id``, and the number of ids of each text."""
+        if not self.by_word:
+            own = [[*x.ids, end_id] for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array([i for x in own for i in x], dtype="<u4"), np.array([len(x) for x in own], dtype=np.int64)
         words = [x.encode().split() for x in texts]  # at ASCII white space; the library itself splits at other spaces
         for x in words:
             x.append(b" ")  # stands for end_id: no word is a space
         per_text = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         flat = [w for x in words for w in x]
         batch = set(flat) - {b" "}
-        new = batch.difference(self.cache)
-        if len(self.cache) + len(new) > self.room:  # the cache starts anew, and words of this batch must be in it
-            self.cache, self.used, self.offsets, new = {}, 0, [0], batch
-        if new:
+        if len(self.words) + len(batch.difference(self.words)) > self.room or len(self.parts) > self.room:
+            self._forget()
+        if new := batch.difference(self.words):
             self._learn(sorted(new))
-        get = self.cache.get
-        offsets = np.asarray(self.offsets + [self.used + 1], dtype=np.int64)
-        end = len(self.offsets) - 1
-        index = np.fromiter((get(w, end) for w in flat), dtype=np.int64, count=len(flat))
-        source = np.concatenate((self.flat[: self.used], np.array([end_id], dtype="<u4")))
-        length = offsets[index + 1] - offsets[index]
-        ends = np.cumsum(length)
-        ids = source[np.repeat(offsets[index] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
-        last = np.cumsum(per_text) - 1
-        return ids, np.diff(np.concatenate(([0], ends[last]))) if len(last) else np.zeros(0, dtype=np.int64)
+        self.words[b" "] = len(self.starts) - 1
+        index = np.fromiter(map(self.words.__getitem__, flat), dtype=np.int64, count=len(flat))
+        del self.words[b" "]
+        ids, length = self._gather(np.append(self.ids, np.uint32(end_id)), np.append(self.starts, len(self.ids) + 1), index)
+        last = np.cumsum(length)[np.cumsum(per_text) - 1] if len(per_text) else np.zeros(0, dtype=np.int64)
+        return ids, np.diff(np.concatenate(([0], last)))
 
 
 def encode_to_files(
