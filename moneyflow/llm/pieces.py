@@ -29,7 +29,7 @@ from moneyflow.llm.common import kept
 SIGN = "▁"
 CHUNKS = re.compile(f" +[^ \n{SIGN}]*|[^ \n{SIGN}]+|\n|{SIGN}")
 #: Characters handled in one step, and arcs kept from one batch to the next.
-STEP_CHARS, ARCS_KEPT = 1 << 19, 5_000_000
+STEP_CHARS, ARCS_KEPT = 1 << 18, 3_000_000
 #: Characters of the step table; chunks with others, and chunks over so many characters, take the plain loop.
 DENSE_CHARS, DENSE_LENGTH = 127, 60
 
@@ -305,10 +305,12 @@ class PieceSampler:
         return raw[1:].decode("utf-8", "replace") if len(ids) else ""
 
 
-def encode(docs: DataFrame, model_file: str, seed: int = 1, sharpness: float = 1.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model_file: str, seed: int = 1, sharpness: float = 1.0, id_col: str = "doc_id", text_col: str = "text", described: bool = False) -> DataFrame:
     """(doc_id, ids): a sampled segmentation of each whole text; null and empty texts have no ids.
 
-    The id is the row key: rows that repeat an id and a text get the same ids, a null id counts as 0.
+    The id is the row key: rows that repeat an id and a text get the same ids, a null id counts as 0. With
+    ``described`` also n_tokens, ids_crc32 (of the ids as little-endian 32-bit integers) and text_crc32 (of
+    the UTF-8 that the ids decode to); one Python worker does both, which halves their memory.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -316,10 +318,17 @@ def encode(docs: DataFrame, model_file: str, seed: int = 1, sharpness: float = 1
         sampler = kept(("pieces", model_file, sharpness), lambda: PieceSampler(model_file, sharpness))
         for b in batches:
             keys = b["doc_id"].astype("Int64").fillna(0).astype("int64").tolist()
-            ids = sampler.encode_all([t or "" for t in b["text"]], keys, seed)
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "ids": ids})
+            for at in range(0, len(b), 200):
+                part = b.iloc[at : at + 200]
+                ids = sampler.encode_all([t or "" for t in part["text"]], keys[at : at + 200], seed)
+                out = {"doc_id": part["doc_id"].astype("Int64").reset_index(drop=True), "ids": ids}
+                if described:
+                    out["n_tokens"] = [len(x) for x in ids]
+                    out["ids_crc32"] = [zlib.crc32(x.astype("<i4").tobytes()) for x in ids]
+                    out["text_crc32"] = [zlib.crc32(sampler.decode(x).encode()) for x in ids]
+                yield pd.DataFrame(out)
 
-    return rows.mapInPandas(run, "doc_id long, ids array<int>")
+    return rows.mapInPandas(run, "doc_id long, ids array<int>" + ", n_tokens long, ids_crc32 long, text_crc32 long" * described)
 
 
 def decode(encoded: DataFrame, model_file: str) -> DataFrame:
@@ -331,23 +340,3 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
             yield b.assign(text=[sampler.decode(x) for x in b["ids"]])
 
     return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids array<int>, text string")
-
-
-def describe(encoded: DataFrame, model_file: str) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32 (ids as little-endian 32-bit integers), text_crc32 (of the decoded UTF-8) and ids."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sampler = kept(("pieces", model_file, 1.0), lambda: PieceSampler(model_file))
-        for b in batches:
-            got = [x.astype("<i4") for x in b["ids"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": b["doc_id"].astype("Int64"),
-                    "n_tokens": [len(x) for x in got],
-                    "ids_crc32": [zlib.crc32(x.tobytes()) for x in got],
-                    "text_crc32": [zlib.crc32(sampler.decode(x).encode()) for x in got],
-                    "ids": got,
-                }
-            )
-
-    return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, n_tokens long, ids_crc32 long, text_crc32 long, ids array<int>")

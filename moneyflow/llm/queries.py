@@ -42,8 +42,7 @@ def op5_pieces(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_32k.mod
 
     from moneyflow.llm import pieces
 
-    path = public_tokenizers.path(model)
-    return pieces.describe(pieces.encode(table(spark, sf_dir, "documents"), path), path)
+    return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(model), described=True)
 
 
 def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
