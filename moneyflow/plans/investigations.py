@@ -92,3 +92,27 @@ def prefixed_types(rows: DataFrame, prefixes: list[str]) -> DataFrame:
 def named_rows(frames: dict[str, DataFrame], pattern: str) -> DataFrame:
     """All rows of a name in several sources, tagged with the source."""
     return R.union_all(*[f.where(T.matches_any(F.col("name"), [pattern])).withColumn("source_file", F.lit(n)) for n, f in sorted(frames.items())])
+
+
+def inflow_paths(frames: dict[str, DataFrame], committee: str, k: int = 20) -> tuple[DataFrame, DataFrame]:
+    """How money reaches one committee over several files: by source, code and memo, and the top givers."""
+    cols = ["cmte_id", "transaction_tp", "memo_cd", "name", "transaction_amt"]
+    rows = R.union_all(*[f.select(*cols).where(F.col("cmte_id") == committee).withColumn("source_file", F.lit(n)) for n, f in sorted(frames.items())])
+    paths = rows.groupBy("source_file", "transaction_tp", "memo_cd").agg(F.count(F.lit(1)).alias("n_rows"), N.money_sum(F.col("transaction_amt")).alias("total"))
+    givers = rows.groupBy("source_file", "name").agg(N.money_sum(F.col("transaction_amt")).alias("total")).orderBy(F.desc("total"), "name").limit(k)
+    return paths, givers
+
+
+def alias_summary(rows: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Contributions of employers on an alias list, by alias and state."""
+    own = aliases.select(T.key(F.col("employer")).alias("k"), "canonical_name").dropDuplicates(["k"])
+    return rows.join(own, T.key(F.col("employer")) == F.col("k"), "inner").groupBy("canonical_name", "state").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("name").alias("n_donors"), N.money_sum(F.col("transaction_amt")).alias("total")
+    )
+
+
+def sample_summary(filed: DataFrame, k: int = 10) -> dict[str, DataFrame]:
+    """The commonest values of a sampled API response: filing types, clients, issue codes."""
+    issues = filed.select(F.explode("lobbying_activities").alias("a")).select(F.col("a.general_issue_code").alias("issue"))
+    top = lambda df, c: R.value_counts(df, c).orderBy(F.desc("n"), c).limit(k)
+    return {"types": top(filed, "filing_type"), "clients": top(filed.select(F.col("client.name").alias("client")), "client"), "issues": top(issues, "issue")}

@@ -97,3 +97,8 @@ def cycles_in(spark: SparkSession, root: str) -> list[int]:
     fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory()]
     return sorted(int(n) for n in names if n.isdigit())
+
+
+def scan_cycles(spark: SparkSession, root: str, name: str, cycles: list[int], columns: list[str] | None = None) -> DataFrame:
+    """One kind of file over several cycles, with the cycle as a column."""
+    return R.union_all(*[scan(spark, root, c, name, columns).withColumn("cycle", F.lit(c)) for c in cycles])

@@ -197,3 +197,28 @@ def test_stream_equals_batch(spark, tmp_path):
 def test_pages_of_the_site():
     assert site.nearest_section({"", "a", "a/b"}, "a/b/c/d") == "a/b"
     assert "<td>&lt;x&gt;</td>" in site.html_table([{"n": "<x>"}], {"n": "Name"})
+
+
+def test_reconcile_builds_a_complete_snapshot(spark, page_folder, tmp_path):
+    from moneyflow.plans import reconcile
+
+    late = FILING | {"filing_uuid": "u3"}
+    client = rest.PagedClient("http://x", lambda url: (200, {}, json.dumps({"count": 3, "results": [late, FILING]}).encode()))
+    assert reconcile.repair_boundaries(spark, client, "filings", page_folder, live_rows=3) == 1
+    out = reconcile.build_snapshot(spark, page_folder, str(tmp_path / "snap"), live_rows=3)
+    assert out["complete"] and out["n_duplicated"] == 1
+    assert [r.filing_uuid for r in spark.read.json(str(tmp_path / "snap")).collect()] == ["u1", "u2", "u3"]
+    assert reconcile.top_up(client, "filings", page_folder, known_rows=4, live_rows=5, page_size=2) == 2
+
+
+def test_investigations_on_fixtures(spark, cycle_root):
+    from moneyflow.plans import investigations
+
+    itcont = bulk.scan_cycles(spark, cycle_root, "itcont", [2024])
+    paths, givers = investigations.inflow_paths({"itcont": itcont}, "C1")
+    assert paths.count() == 7 and [r.name for r in givers.collect()] == ["DOE"]
+    alias = spark.createDataFrame([('"acme', "Acme")], "employer string, canonical_name string")
+    assert [r.canonical_name for r in investigations.alias_summary(itcont, alias).collect()] == ["Acme"]
+    filed = spark.read.json(spark.sparkContext.parallelize([json.dumps(FILING | {"filing_type": "Q1"})]))
+    got = investigations.sample_summary(filed)
+    assert sorted(r.issue for r in got["issues"].collect()) == ["AGR", "TAX"] and got["types"].first().n == 1
