@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -187,7 +188,7 @@ def drop_contaminated(
         def run(batches: Iterator[pd.DataFrame], shared=shared, key=key) -> Iterator[pd.DataFrame]:
             matcher = kept(("items", key), lambda: Matcher(shared.value, rate))
             for b in batches:
-                yield b[[not matcher.matches(t or "") for t in b[text_col]]]
+                yield b.loc[np.array([not matcher.matches(t or "") for t in b[text_col]], dtype=bool)]
 
         docs = docs.mapInPandas(run, docs.schema)
     return docs

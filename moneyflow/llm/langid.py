@@ -137,7 +137,11 @@ def _vote(classes: list[str], machines: list[tuple[Machine, np.ndarray]], n: int
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; null texts and texts without a letter are ``und`` with score 0."""
+    """``docs`` with ``lang_pred`` and ``score``, in place of any columns of those names.
+
+    Null texts and texts without a letter are ``und`` with score 0.
+    """
+    docs = docs.drop("lang_pred", "score")
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

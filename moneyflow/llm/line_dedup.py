@@ -69,7 +69,7 @@ def remove_repeats(
 
     Null and empty texts stay as they are. Null ids come first in the order. Rows that repeat an id with
     another text are ordered by the text's hash; rows alike in id and text count as one and are treated
-    alike. An empty table gives an empty table.
+    alike. An empty table gives an empty table. Columns that already have the names of the counts are replaced.
     """
     named = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__hash", F.xxhash64(F.col(text_col)))
     rows = named.where(F.col(text_col).isNotNull()).select("__id", "__hash", F.col(text_col).alias("text"))
@@ -114,6 +114,7 @@ def remove_repeats(
     heads = found.where("is_first").groupBy("digest").agg(F.min("chunk").alias("head"))
     later = found.where("not is_first").join(stash(heads, "heads"), "digest").where("chunk = head")
     gone = later.groupBy("id", "hash").agg(F.collect_set(F.struct("start", "n")).alias("__spans"))
+    gone = gone.select(F.col("id").alias("__gone_id"), F.col("hash").alias("__gone_hash"), "__spans")
     schema = docs.select(*[c for c in docs.columns if c not in ("lines_removed", "words_removed")]).schema
     columns = schema.fieldNames()
 
@@ -132,6 +133,6 @@ def remove_repeats(
                 kept.append("\n".join(lines) if runs else text)
             yield b[columns].assign(**{text_col: pd.Series(kept, dtype=object, index=b.index)}, lines_removed=n_lines, words_removed=n_words)
 
-    joined = named.join(gone, (F.col("__id").eqNullSafe(F.col("id"))) & (F.col("__hash") == gone["hash"]), "left")
+    joined = named.join(gone, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__hash") == F.col("__gone_hash")), "left")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", lines_removed int, words_removed long"
     return joined.select(*columns, "__spans").mapInPandas(clean, ddl)

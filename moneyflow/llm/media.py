@@ -224,6 +224,8 @@ def sniff_column(rows: DataFrame, media_col: str, declared_col: str | None = Non
     null. Ties between formats at one offset go to the longer, then to the name.
     """
 
+    rows = rows.drop("media_type", "embedded", "type_was_wrong")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             kinds, inner = [], []

@@ -74,7 +74,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int = 6000,
 
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score``, the probability of class 1. Texts without words get the bias's probability."""
+    """``docs`` with ``score``, the probability of class 1, in place of any column of that name.
+
+    Texts without words get the bias's probability.
+    """
+    docs = docs.drop("score")
     weights = docs.sparkSession.sparkContext.broadcast((model.direction(), float(model.bias[1] - model.bias[0])))
     key = uuid.uuid4().hex
 

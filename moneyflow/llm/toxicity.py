@@ -170,7 +170,11 @@ class WordWeights:
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score``, the probability that a text is toxic. Null and empty texts get the bias's probability."""
+    """``docs`` with ``score``, the probability that a text is toxic, in place of any column of that name.
+
+    Null and empty texts get the bias's probability.
+    """
+    docs = docs.drop("score")
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

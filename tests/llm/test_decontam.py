@@ -57,7 +57,7 @@ def test_tables(spark):
     assert sorted((r.doc_id for r in D.drop_contaminated(docs, bench).collect())) == [2, 3, 4]
     assert sorted(((r.doc_id, r.item_id, r.distance) for r in D.contaminations(docs, bench, block_chars=10).collect()), key=str) == got
     assert D.contaminations(docs.where("false"), bench).count() == 0 and D.contaminations(docs, bench.where("false")).count() == 0
-    assert D.drop_contaminated(docs, bench.where("false")).count() == 6
+    assert D.drop_contaminated(docs, bench.where("false")).count() == 6 and D.drop_contaminated(docs.where("false"), bench).count() == 0
 
 
 def test_query_equals_plain_search(spark):

@@ -50,9 +50,9 @@ def brute(rows, min_words):
 
 def test_against_brute_force(spark):
     rows = fixture()
-    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, start string")
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, id string, hash string")
     got = L.remove_repeats(docs)
-    assert got.columns == ["doc_id", "text", "start", "lines_removed", "words_removed"]
+    assert got.columns == ["doc_id", "text", "id", "hash", "lines_removed", "words_removed"]
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(brute(rows, 50), key=str)
     by = {r.doc_id: r for r in got.collect()}
     assert PASSAGE not in by[10].text and by[None].text == PASSAGE  # a null id comes first

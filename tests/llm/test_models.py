@@ -77,12 +77,12 @@ def test_word_weights_equal_text_features():
 
 
 def test_edges(spark):
-    docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "12 34", "x"), (None, "word " * 50_000, "x")], "doc_id long, text string, score string").drop("score")
+    docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "12 34", "x"), (None, "word " * 50_000, "x")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
     for rows in (
         quality.score(docs, quality.fit(docs, labels, quality.learning_rows())),
         toxicity.score(docs, toxicity.fit(docs, labels.where("false"), toxicity.learning_rows())),
-        langid.predict(docs, langid.fit(docs.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang"), quality.learning_rows())),
+        langid.predict(docs, langid.fit(docs.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang", "1 AS label"), quality.learning_rows())),
     ):
         got = rows.collect()
         assert len(got) == 4 and all(0 <= r.score <= 1 for r in got)
