@@ -1,7 +1,8 @@
 """Quality classifier by supervised subword embeddings.
 
 Every word and every character n-gram of a word has a learned vector in a hashed table; a document is the
-average of its words' vectors, a softmax layer gives the class. Trained by stochastic gradient descent in
+average of its words' vectors, a softmax layer gives the class. A word said again right away has the vector
+of repetition instead of its own, and five zero vectors keep very short texts near the prior. Trained by stochastic gradient descent in
 numpy on a bounded sample of labelled rows (``max_rows``, expected number); every row is scored.
 """
 
@@ -19,6 +20,7 @@ from moneyflow.llm.common import fold_of, kept
 from moneyflow.llm.subword import WordScores, feature_rows, sampled
 
 SIZES, BITS, SEED = (2, 3), 16, 11
+SHAPE = {"pad": 5, "repeats": True}
 
 
 def as_is(word: str) -> str:
@@ -70,7 +72,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int = 6000,
     total = known.count()
     known = known.where(sampled(F.col("doc_id"), min(1.0, max_rows / max(total, 1)), seed)).groupBy("doc_id").agg(F.min("label").alias("label"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
-    return train(feature_rows(rows, "label", as_is, SIZES, BITS), seed=seed)
+    return train(feature_rows(rows, "label", as_is, SIZES, BITS, **SHAPE), seed=seed)
 
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
@@ -84,7 +86,7 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataF
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         direction, bias = weights.value
-        scores = kept(("quality", key), lambda: WordScores(direction, as_is, SIZES, BITS))
+        scores = kept(("quality", key), lambda: WordScores(direction, as_is, SIZES, BITS, **SHAPE))
         for b in batches:
             mean, _ = scores.means(["" if t is None else t for t in b[text_col]])
             yield b.assign(score=1 / (1 + np.exp(-(mean[:, 0] + bias))))

@@ -51,27 +51,40 @@ def buckets_of(words: list[str], sizes: tuple[int, ...], bits: int) -> tuple[np.
     return (np.concatenate(out) & np.uint64((1 << bits) - 1)).astype(np.int64), np.concatenate(owners)
 
 
-def document_features(text: str, clean: Callable[[str], str], sizes: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, weight) of a whole text: sparse, never longer than the number of buckets; empty without words."""
+#: Stands for a word that is one of the two words before it, where repeats count.
+REPEAT = "\x01"
+
+
+def document_features(
+    text: str, clean: Callable[[str], str], sizes: tuple[int, ...], bits: int, pad: int = 0, repeats: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, weight) of a whole text: sparse, never longer than the number of buckets; empty without words.
+
+    The mean is taken over the words and ``pad`` words without features, which keeps short texts near
+    nothing. With ``repeats``, a word that is one of the two before it counts as the word REPEAT.
+    """
     words: dict[str, int] = {}
-    for w in text.split():
-        if w := clean(w):
+    before = last = None
+    for raw in text.split():
+        w = REPEAT if repeats and raw in (last, before) else clean(raw)
+        before, last = last, raw
+        if w:
             words[w] = words.get(w, 0) + 1
     if not words:
         return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.float32)
     bucket, owner = buckets_of(list(words), sizes, bits)
-    share = np.array(list(words.values())) / (sum(words.values()) * np.bincount(owner))
+    share = np.array(list(words.values())) / ((sum(words.values()) + pad) * np.bincount(owner))
     dense = np.bincount(bucket, weights=share[owner], minlength=1 << bits)
     at = np.flatnonzero(dense)
     return at.astype(np.int32), dense[at].astype(np.float32)
 
 
-def feature_rows(docs: DataFrame, label: str, clean: Callable, sizes: tuple[int, ...], bits: int) -> list[tuple]:
+def feature_rows(docs: DataFrame, label: str, clean: Callable, sizes: tuple[int, ...], bits: int, pad: int = 0, repeats: bool = False) -> list[tuple]:
     """(label, buckets, weights) of the rows of a bounded sample, made on the executors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = [document_features(t, clean, sizes, bits) for t in b["text"]]
+            got = [document_features(t, clean, sizes, bits, pad, repeats) for t in b["text"]]
             yield pd.DataFrame({"label": b["label"], "at": [x.tobytes() for x, _ in got], "weight": [y.tobytes() for _, y in got]})
 
     out = docs.select(F.col(label).cast("string").alias("label"), F.coalesce("text", F.lit("")).alias("text"))
@@ -88,8 +101,10 @@ def sampled(key: Column, fraction: float, seed: int) -> Column:
 class WordScores:
     """Scores of words, computed for all new words of a step at once and kept while there is room."""
 
-    def __init__(self, weights: np.ndarray, clean: Callable[[str], str], sizes: tuple[int, ...], bits: int, room: int = 400_000):
-        self.weights, self.clean, self.sizes, self.bits, self.room = weights, clean, sizes, bits, room
+    def __init__(
+        self, weights: np.ndarray, clean: Callable[[str], str], sizes: tuple[int, ...], bits: int, room: int = 400_000, pad: int = 0, repeats: bool = False
+    ):
+        self.weights, self.clean, self.sizes, self.bits, self.room, self.pad, self.repeats = weights, clean, sizes, bits, room, pad, repeats
         self._forget()
 
     def _forget(self) -> None:
@@ -127,10 +142,18 @@ class WordScores:
             if new:
                 self._learn(sorted(new))
             index = np.fromiter(map(self.place.__getitem__, flat), dtype=np.int64, count=len(flat))
+            if self.repeats:
+                if REPEAT not in self.place:
+                    self._learn([REPEAT])
+                text = np.repeat(np.arange(len(n)), n)
+                again = np.zeros(len(index), dtype=bool)
+                for lag in (1, 2):
+                    again[lag:] |= (index[lag:] == index[:-lag]) & (text[lag:] == text[:-lag])
+                index[again] = self.place[REPEAT]
             some = np.flatnonzero(n)
             if len(some):
                 starts = np.concatenate(([0], np.cumsum(n)[:-1]))[some]
                 out[at + some] = np.add.reduceat(self.rows[index], starts, axis=0)
             at = to
         count = out[:, -1]
-        return out[:, :-1] / np.maximum(count, 1)[:, None], count
+        return out[:, :-1] / np.maximum(count + self.pad, 1)[:, None], count

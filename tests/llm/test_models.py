@@ -53,6 +53,10 @@ def test_hashed_features_are_additive():
     at, v = subword.document_features(text, langid.letters, (1, 2, 3), 16)
     assert np.allclose(got[0], w[at].T @ v, atol=1e-5) and (got[0] == got[3]).all() and n.tolist() == [7, 0, 0, 7] and (got[1:3] == 0).all()
     assert abs(v.sum() - 1) < 1e-5
+    text = "go go go on, on and on\nand on"
+    got, n = subword.WordScores(w, quality.as_is, (2, 3), 16, **quality.SHAPE).means(["go", text, "x"])
+    at, v = subword.document_features(text, quality.as_is, (2, 3), 16, **quality.SHAPE)
+    assert np.allclose(got[1], w[at].T @ v, atol=1e-5) and abs(v.sum() - 9 / 14) < 1e-5
 
 
 def test_non_negative_risk_ignores_positives_among_unlabelled():
