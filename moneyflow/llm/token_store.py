@@ -122,22 +122,25 @@ class WordCachingEncoder:
     Other words go one by one. Caches start anew when full. Other kinds of tokenizers get whole texts.
     """
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str, cache_words: int = 400_000, cache_parts: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.room = Tokenizer.from_file(path), cache_words
+        self.tokenizer, self.room, self.room_parts = Tokenizer.from_file(path), cache_words, cache_parts
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         self.by_word = bool(suffix)
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         if suffix:
             self.is_end[[i for w, i in vocabulary.items() if w.endswith(suffix)]] = True
-        self._forget()
+        self._forget_words()
+        self._forget_parts()
 
-    def _forget(self) -> None:
+    def _forget_words(self) -> None:
         self.words: dict[bytes, int] = {}  # word -> its number
         self.ids, self.starts = np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+
+    def _forget_parts(self) -> None:
         self.parts: dict[str, int] = {"": 0}
         self.part_ids, self.part_starts = np.zeros(0, dtype="<u4"), np.zeros(2, dtype=np.int64)
 
@@ -173,7 +176,7 @@ class WordCachingEncoder:
                 other.append((w, t))
         unknown = set(split).difference(self.parts)
         if unknown:
-            self._learn_parts(sorted(unknown))
+            self._learn_parts(list(unknown))
         index = np.fromiter(map(self.parts.__getitem__, split), dtype=np.int64, count=len(split))
         ids, length = self._gather(self.part_ids, self.part_starts, index)
         length = length.reshape(-1, 3).sum(axis=1)
@@ -195,11 +198,16 @@ class WordCachingEncoder:
             x.append(b" ")  # stands for end_id: no word is a space
         per_text = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         flat = [w for x in words for w in x]
-        batch = set(flat) - {b" "}
-        if len(self.words) + len(batch.difference(self.words)) > self.room or len(self.parts) > self.room:
-            self._forget()
-        if new := batch.difference(self.words):
-            self._learn(sorted(new))
+        batch = set(flat)
+        batch.discard(b" ")
+        new = batch.difference(self.words)
+        if len(self.words) + len(new) > self.room:
+            self._forget_words()
+            new = batch
+        if len(self.parts) > self.room_parts:
+            self._forget_parts()
+        if new:
+            self._learn(list(new))
         self.words[b" "] = len(self.starts) - 1
         index = np.fromiter(map(self.words.__getitem__, flat), dtype=np.int64, count=len(flat))
         del self.words[b" "]

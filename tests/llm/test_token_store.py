@@ -32,7 +32,7 @@ def test_round_trip_and_random_access(docs):
 @given(st.lists(st.text(max_size=60) | st.text(alphabet="aB'sß Σς\t\n ́\x1c<|endoftext>", max_size=40), min_size=1, max_size=5))
 def test_word_cache_equals_whole_texts(texts):
     tok = Tokenizer.from_file(PATH)
-    got, n = S.WordCachingEncoder(PATH, cache_words=5).encode(texts, 1)
+    got, n = S.WordCachingEncoder(PATH, cache_words=5, cache_parts=5).encode(texts, 1)
     want = [tok.encode(t, add_special_tokens=False).ids + [1] for t in texts]
     assert n.tolist() == [len(w) for w in want] and got.tolist() == [x for w in want for x in w]
 
