@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from moneyflow.llm.common import stash
 from moneyflow.llm.graph import components
+from moneyflow.llm.jaccard import similar_links
 
 GROUP_LIMIT = 1 << 13
 CHUNK = 1 << 15
@@ -216,53 +217,24 @@ def shingle_set(text: str, words: int) -> set:
     return {tuple(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))}
 
 
-def similar(linked: DataFrame, docs: DataFrame, reps: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The links (a, b) whose texts have so much of their shingles in common (Jaccard).
-
-    ``reps`` names one text for each fingerprint: (fp, least) with least.doc_id and least.text_hash.
-    """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    ends = linked.select(F.col("a").alias("fp")).unionAll(linked.select("b")).distinct()
-    wanted = reps.join(ends, "fp").select("fp", F.col("least.doc_id").alias("id"), F.col("least.text_hash").alias("hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
-    own = stash(wanted.join(texts, same).select("fp", "text"), "linked-texts")  # a repeated row only repeats a check
-    pairs = linked.join(own.select(F.col("fp").alias("a"), F.col("text").alias("x")), "a").join(own.select(F.col("fp").alias("b"), F.col("text").alias("y")), "b")
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            good = []
-            for x, y in zip(p["x"], p["y"], strict=True):
-                s, t = shingle_set(x, words), shingle_set(y, words)
-                good.append(len(s & t) >= similarity * len(s | t))
-            yield p.loc[good, ["a", "b"]]
-
-    return pairs.select("a", "b", "x", "y").mapInPandas(check, "a long, b long")
-
-
 def near_duplicates(
     docs: DataFrame,
     words: int = 4,
     budget: int = 4,
-    similarity: float | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """One row for each document: doc_id, text_hash, fp (signed long), component_id and stays.
 
     ``component_id`` is the least id that the document reaches over links; ``stays`` marks the one document of
-    each component with the least (id, text hash). With ``similarity``, links between fingerprints also need
-    that Jaccard similarity of their shingle sets. Equal fingerprints always link, those of texts without
+    each component with the least (id, text hash). Equal fingerprints always link, those of texts without
     words too. Rows that repeat an id and a text are one document: all have the same values. Null ids come
     after all others.
     """
     all_fps = stash(fingerprints(docs, words, id_col, text_col), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     distinct = stash(all_fps.groupBy("fp").agg(F.min(place).alias("least")), "distinct")
-    linked = links(distinct, budget)
-    if similarity is not None:
-        linked = similar(stash(linked.distinct(), "candidates"), docs, distinct, words, similarity, id_col, text_col)
-    roots = components(linked)
+    roots = components(links(distinct, budget))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = named.groupBy("root").agg(F.min("least").alias("first"))
     of_fp = named.select("fp", "root").join(ids, "root").select("fp", "first")
@@ -270,11 +242,21 @@ def near_duplicates(
     return all_fps.join(of_fp, "fp").select("doc_id", "text_hash", "fp", F.col("first.doc_id").alias("component_id"), stays.alias("stays"))
 
 
-def drop_near_duplicates(
-    docs: DataFrame, words: int = 5, budget: int = 8, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates."""
-    gone = near_duplicates(docs, words, budget, similarity, id_col, text_col).where("not stays").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates: the one with the least (id, text hash).
+
+    Texts link if their shingle sets have this Jaccard similarity or more, whatever their fingerprints, and groups
+    are what links connect. Texts without words are alike. Null ids come after all others.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"))
+    roots = components(similar_links(rows.select("node", "text"), words, similarity))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col("node").alias("text_hash"))
+    least = stash(rows.groupBy("node").agg(F.min(place).alias("least")), "distinct")
+    named = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    firsts = named.groupBy("root").agg(F.min("least").alias("first"))
+    of_text = named.select("node", "root").join(firsts, "root").select("node", "first")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.text_hash"))
+    gone = rows.select("doc_id", "node").join(of_text, "node").where(~stays).select(F.col("doc_id").alias("__id"), F.col("node").alias("__hash")).distinct()
     same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash"))
     return docs.join(gone, same, "left_anti")
