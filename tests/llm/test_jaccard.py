@@ -54,3 +54,13 @@ def test_group_of_edited_copies(spark):
         base = [f"g{g}w{k}" for k in range(200)]
         texts += [" ".join(base)] + [edited(rng, base, 3) for _ in range(300)]
     assert stay(spark, texts) == kept(texts)
+
+
+def test_pairs_of_many_differing_bits(spark):
+    rng = random.Random(3)
+    texts = []
+    for g in range(60):
+        base = [f"p{g}w{k}" for k in range(200)]
+        texts += [" ".join(base), edited(rng, base, 4)]
+    bits = [(S.fingerprint(texts[k], 5) ^ S.fingerprint(texts[k + 1], 5)).bit_count() for k in range(0, 120, 2)]
+    assert max(bits) > 8 and stay(spark, texts) == kept(texts) == list(range(0, 120, 2))
