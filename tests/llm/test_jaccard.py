@@ -64,3 +64,10 @@ def test_pairs_of_many_differing_bits(spark):
         texts += [" ".join(base), edited(rng, base, 4)]
     bits = [(S.fingerprint(texts[k], 5) ^ S.fingerprint(texts[k + 1], 5)).bit_count() for k in range(0, 120, 2)]
     assert max(bits) > 8 and stay(spark, texts) == kept(texts) == list(range(0, 120, 2))
+
+
+def test_equal_fingerprints_need_similarity(spark):
+    phrase = " ".join(f"f0x{k}" for k in range(11))
+    texts = [" ".join([phrase] * 60 + [f"s0o{j}n{k}" for k in range(400)]) for j in range(2)]
+    assert S.fingerprint(texts[0], 5) == S.fingerprint(texts[1], 5) and not alike(*texts)
+    assert stay(spark, [*texts, texts[0].upper(), "", "  "]) == [0, 1, 3]
