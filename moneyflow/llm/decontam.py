@@ -4,7 +4,7 @@ An item of m characters may occur in a text with up to k = rate * m edits. Cut i
 one piece occurs unchanged. One Aho-Corasick automaton finds all pieces of all items in a single pass over
 a text; a hit fixes a window of the text, and Myers' bit-parallel algorithm gives the least edit distance
 of the item to any stretch of that window. Windows that cannot hold the item are left out before, by the
-trigram lemma: an edit destroys three trigrams at most.
+trigram lemma: an edit destroys three trigrams at most. Short items match unedited, as whole words.
 
 Items and texts are compared lower-cased, with runs of white space as one space.
 """
@@ -71,12 +71,13 @@ def best_match(item: Item, window: str) -> tuple[int, int]:
 
 
 class Matcher:
-    """All items of one block against texts."""
+    """All items of one block against texts; those of under ``min_chars`` unedited and at word boundaries."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[int, str]], rate: float, min_chars: int = 0):
         import ahocorasick
 
-        self.items = [make_item(name, text, rate) for name, text in items]
+        self.min_chars = min_chars
+        self.items = [make_item(name, text, 0 if len(text) < min_chars else rate) for name, text in items]
         places: dict[str, list[tuple[int, int]]] = {}
         for k, item in enumerate(self.items):
             for start, piece in pieces(item):
@@ -101,6 +102,11 @@ class Matcher:
         for k, begins in windows.items():
             item, best = self.items[k], None
             m, b = len(item.text), item.budget
+            if m < self.min_chars:
+                whole = [x for x in begins if self._apart(t, x) and self._apart(t, x + m)]
+                if whole:
+                    out.append((item.name, 0, min(whole) + m))
+                continue
             need, at = len(item.trigrams) - 3 * b, None
             for begin in sorted(begins):
                 # neighbouring windows are joined; each starts and ends a budget further out than the item
@@ -114,6 +120,11 @@ class Matcher:
                 out.append((item.name, *best))
         return out
 
+    @staticmethod
+    def _apart(t: str, at: int) -> bool:
+        """No word goes on over this place."""
+        return not (0 < at < len(t) and t[at - 1].isalnum() and t[at].isalnum())
+
     @staticmethod
     def _look(item: Item, t: str, at: tuple[int, int] | None, need: int, best: tuple[int, int] | None) -> tuple[int, int] | None:
         if at is None or best and best[0] == 0:
@@ -127,13 +138,13 @@ class Matcher:
         return distance, a + end
 
 
-def item_blocks(benchmark: DataFrame, min_chars: int, block_chars: int) -> list[list[tuple[int, str]]]:
-    """(item_id, normal text) of the items long enough to match, in blocks of about ``block_chars`` characters."""
+def item_blocks(benchmark: DataFrame, block_chars: int) -> list[list[tuple[int, str]]]:
+    """(item_id, normal text) of the items that are not empty, in blocks of about ``block_chars`` characters."""
     blocks: list[list[tuple[int, str]]] = [[]]
     size = 0
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull()).toLocalIterator():
         text = normal(r["text"])
-        if len(text) >= min_chars:
+        if text:
             if size + len(text) > block_chars and blocks[-1]:
                 blocks.append([])
                 size = 0
@@ -157,7 +168,7 @@ def contaminations(
     """(doc_id, item_id, distance, stop) for each document and item found in it, the best match only.
 
     ``stop`` is the match's end in the normal form of the document. Items shorter than ``min_chars`` in
-    normal form, null and empty items cannot be told from chance and match nothing. Items go in blocks, each
+    normal form match unedited and as whole words only; null and empty items match nothing. Items go in blocks, each
     of which fits a worker; all documents meet all blocks. Null and empty texts match nothing; rows that
     repeat a document or an item give rows for each.
     """
@@ -167,7 +178,7 @@ def contaminations(
         shared, key = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            matcher = kept(("items", key), lambda: Matcher(shared.value, rate))
+            matcher = kept(("items", key), lambda: Matcher(shared.value, rate, min_chars))
             for b in batches:
                 out = [(name, *found) for name, text in zip(b["doc_id"], b["text"], strict=True) for found in matcher.matches(text)]
                 d = pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "stop"])
@@ -175,18 +186,18 @@ def contaminations(
 
         return rows.mapInPandas(run, "doc_id long, item_id long, distance int, stop long")
 
-    return reduce(DataFrame.unionAll, [against(b) for b in item_blocks(benchmark, min_chars, block_chars)])
+    return reduce(DataFrame.unionAll, [against(b) for b in item_blocks(benchmark, block_chars)])
 
 
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS, text_col: str = "text"
 ) -> DataFrame:
     """``docs`` without the documents that hold an item; rows are filtered in place, nothing is shuffled."""
-    for items in item_blocks(benchmark, min_chars, block_chars):
+    for items in item_blocks(benchmark, block_chars):
         shared, key = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
         def run(batches: Iterator[pd.DataFrame], shared=shared, key=key) -> Iterator[pd.DataFrame]:
-            matcher = kept(("items", key), lambda: Matcher(shared.value, rate))
+            matcher = kept(("items", key), lambda: Matcher(shared.value, rate, min_chars))
             for b in batches:
                 yield b.loc[np.array([not matcher.matches(t or "") for t in b[text_col]], dtype=bool)]
 

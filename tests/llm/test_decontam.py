@@ -69,3 +69,10 @@ def test_query_equals_plain_search(spark):
     exact = {(i, k) for i, t in docs for k, x in items if x in t}
     got = {(r.doc_id, r.item_id): r.distance for r in op6_decontam(spark, sf).collect()}
     assert exact == {k for k, d in got.items() if d == 0} and exact
+
+
+def test_short_items_match_unedited_as_whole_words(spark):
+    bench = spark.createDataFrame([(1, "Who wrote  the Iliad?"), (2, "in"), (3, " "), (4, "")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "asked: who wrote the iliad?"), (2, "who wrote the iliads? wind, inn"), (3, "who wrota the iliad?"), (4, "(in) tin"), (5, "")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id, r.distance, r.stop) for r in D.contaminations(docs, bench).collect()) == [(1, 1, 0, 27), (4, 2, 0, 3)]
+    assert sorted(r.doc_id for r in D.drop_contaminated(docs, bench).collect()) == [2, 3, 5]
