@@ -30,23 +30,51 @@ HEADER = struct.Struct(">8sQQQQQ")  # magic, tokens, tokens before in the task,
 RANK_STEP = 512
 
 
+class SegmentWriter:
+    """Takes the ids of one document after the other and packs them level by level as they come."""
+
+    def __init__(self):
+        self.levels, self.doc_ids, self.starts = [(bytearray(), bytearray())], [], [0]
+
+    @property
+    def n(self) -> int:
+        return len(self.levels[0][0])
+
+    def add(self, ids: np.ndarray) -> None:
+        rest, k = np.asarray(ids, dtype="<u4"), 0
+        while len(rest):
+            if k == len(self.levels):
+                self.levels.append((bytearray(), bytearray()))
+            more = rest > 0xFF
+            self.levels[k][0].extend(rest.astype(np.uint8).data)  # the lowest eight bits
+            self.levels[k][1].extend(more.data)
+            rest, k = rest[more] >> np.uint32(8), k + 1
+
+    def end_document(self, doc_id: int | None) -> None:
+        self.doc_ids.append(doc_id)
+        self.starts.append(self.n)
+
+    def pack(self, task: int, before: int) -> bytes:
+        known = np.array([x is not None and x == x for x in self.doc_ids], dtype=np.uint8)
+        named = np.array([int(x) if k else 0 for x, k in zip(self.doc_ids, known, strict=True)], dtype="<i8")
+        head = HEADER.pack(MAGIC, self.n, before, task, len(self.doc_ids), len(self.levels))
+        parts = [head, named.tobytes(), known.tobytes(), np.array(self.starts, dtype="<u8").tobytes()]
+        for low, more in self.levels:
+            bits = np.packbits(np.frombuffer(more, dtype=np.uint8), bitorder="little")
+            blocks = np.bitwise_count(np.pad(bits, (0, -len(bits) % (RANK_STEP // 8)))).reshape(-1, RANK_STEP // 8).sum(axis=1, dtype=np.int64)
+            ones = np.concatenate(([0], np.cumsum(blocks)))[: len(low) // RANK_STEP + 1].astype("<u4")
+            parts += [struct.pack(">QQQ", len(low), len(bits), len(ones)), low, bits.tobytes(), ones.tobytes()]
+        return b"".join(parts)
+
+
 def pack_segment(ids: np.ndarray, doc_ids: list, counts: list[int], task: int, before: int) -> bytes:
     """One segment from the token ids of whole documents."""
-    parts, rest = [], np.ascontiguousarray(ids, dtype="<u4")
-    while True:
-        more = rest > 0xFF
-        low, high = (rest & 0xFF).astype(np.uint8), rest[more] >> np.uint32(8)
-        bits = np.packbits(more, bitorder="little")
-        ones = np.concatenate(([0], np.cumsum(more, dtype=np.int64)))[::RANK_STEP].astype("<u4")
-        parts += [struct.pack(">QQQ", len(low), len(bits), len(ones)), low.tobytes(), bits.tobytes(), ones.tobytes()]
-        if not len(high):
-            break
-        rest = high
-    known = np.array([x is not None and x == x for x in doc_ids], dtype=np.uint8)
-    named = np.array([int(x) if k else 0 for x, k in zip(doc_ids, known, strict=True)], dtype="<i8")
-    starts = np.concatenate(([0], np.cumsum(counts, dtype=np.int64))).astype("<u8")
-    head = HEADER.pack(MAGIC, len(ids), before, task, len(doc_ids), len(parts) // 4)
-    return b"".join([head, named.tobytes(), known.tobytes(), starts.tobytes(), *parts])
+    out, at = SegmentWriter(), 0
+    for name, k in zip(doc_ids, counts, strict=True):
+        out.add(ids[at : at + k])
+        out.end_document(name)
+        at += k
+    return out.pack(task, before)
 
 
 class Segment:
@@ -108,112 +136,276 @@ class Segment:
         return self.slice(0, self.n_tokens)
 
 
-#: A word of letters between runs of signs: each of the three parts is one token run of its own. Without the
-#: apostrophe, which begins contractions.
-PARTS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-
-
-class WordCachingEncoder:
-    """Encodes as the library does for whole texts, but asks it once for each distinct word.
+#: Texts of these characters alone are cut into runs in arrays: ASCII that prints, ASCII white space, and the
+#: letters of Latin-1, whose lower case and normal form are one character each.
+PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+SPACE, LETTER, DIGIT, OTHER, HOLE, END = range(6)
+END_MARK, HOLE_MARK = 0, 1
+#: What a tokenizer's parts must be, as far as the runs depend on them.
+RUNS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITTERS = [
+    {"type": "Split", "pattern": {"Regex": RUNS}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class, lower case and plainness of the characters 0 to 255."""
+    kind, lower, plain = np.full(256, OTHER, dtype=np.uint8), np.arange(256, dtype=np.uint8), np.zeros(256, dtype=bool)
+    for i in range(256):
+        c = chr(i)
+        plain[i] = bool(PLAIN.fullmatch(c))
+        if plain[i]:
+            kind[i] = SPACE if c.isspace() else DIGIT if c in "0123456789" else LETTER if c.isalpha() else OTHER
+            lower[i] = ord(c.lower()) if ord(c.lower()) < 256 else i
+    kind[END_MARK], kind[HOLE_MARK] = END, HOLE
+    return kind, lower, plain
+
+
+KIND, LOWER, IS_PLAIN = _classes()
+#: The first n bytes of eight.
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+
+
+class RunTable:
+    """Runs of up to sixteen bytes (two words, zero-padded) and their numbers: open addressing in arrays."""
+
+    def __init__(self, bits: int):
+        self.bits, self.n, self.mask = bits, 0, np.int64((1 << bits) - 1)
+        self.low, self.high = np.zeros(1 << bits, dtype=np.uint64), np.zeros(1 << bits, dtype=np.uint64)
+        self.value = np.full(1 << bits, -1, dtype=np.int32)
+
+    def _grow(self) -> None:
+        used = self.value >= 0
+        low, high, value = self.low[used], self.high[used], self.value[used]
+        self.__init__(self.bits + 1)
+        self._put(low, high, value)
+
+    def _slots(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        h = low * np.uint64(0x9E3779B97F4A7C15) ^ (high + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (h >> np.uint64(33)).astype(np.int64) & self.mask
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Numbers of the runs, -1 for those that are not here."""
+        out, slot, who = np.full(len(low), -1, dtype=np.int64), self._slots(low, high), None
+        while len(slot):
+            value = self.value[slot]
+            hit = (value >= 0) & (self.low[slot] == low) & (self.high[slot] == high)
+            if who is None:
+                out[hit], on = value[hit], np.flatnonzero((value >= 0) & ~hit)
+                who = on
+            else:
+                out[who[hit]], on = value[hit], np.flatnonzero((value >= 0) & ~hit)
+                who = who[on]
+            low, high, slot = low[on], high[on], slot[on] + 1 & self.mask
+        return out
 
-    That holds for tokenizers with word ends, which drop white space and join nothing across it. Words of
-    plain letters and signs are put together from their parts (the letters in lower case), so that case and
-    punctuation make no new words; many parts go to the library in one text, cut apart at the word ends.
-    Other words go one by one. Caches start anew when full. Other kinds of tokenizers get whole texts.
+    def add(self, low: np.ndarray, high: np.ndarray, first: int) -> None:
+        """Distinct runs that are not here get the numbers from ``first`` on."""
+        while 2 * (self.n + len(low)) > len(self.value):
+            self._grow()
+        self._put(low, high, np.arange(first, first + len(low), dtype=np.int32))
+
+    def _put(self, low: np.ndarray, high: np.ndarray, value: np.ndarray) -> None:
+        self.n += len(low)
+        slot, claim = self._slots(low, high), self.value
+        while len(slot):
+            free = claim[slot] < 0
+            claim[slot[free]] = value[free]  # of several runs at one slot the last one stays
+            won = claim[slot] == value
+            self.low[slot[won]], self.high[slot[won]] = low[won], high[won]
+            low, high, value, slot = low[~won], high[~won], value[~won], slot[~won] + 1 & self.mask
+
+
+class RunCachingEncoder:
+    """Encodes as the library does for whole texts, but asks it once for each distinct run of characters.
+
+    That holds for tokenizers that lower-case, cut texts into contractions, letters, single digits and other signs,
+    drop white space, and end each run's last token with a suffix: the runs of a batch are then found and looked up
+    in arrays, and new ones go to the library many in one text, cut apart at the run ends. Words with characters
+    outside ``PLAIN`` or with marks of special tokens go to the library whole. A tokenizer of any other make gets
+    whole texts. Before a batch, runs met only once are
+    forgotten when there are more than ``room`` (a run of over sixteen characters counts as eight).
     """
 
-    def __init__(self, path: str, cache_words: int = 400_000, cache_parts: int = 500_000):
+    def __init__(self, path: str, table_bits: int = 19, room: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.room, self.room_parts = Tokenizer.from_file(path), cache_words, cache_parts
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
-        self.by_word = bool(suffix)
+        self.tokenizer, self.table_bits, self.room = Tokenizer.from_file(path), table_bits, room
+        made = json.loads(self.tokenizer.to_str())
+        suffix = made["model"].get("end_of_word_suffix")
+        self.by_run = bool(suffix) and self._known(made)
+        if not self.by_run:
+            return
+        from tokenizers import pre_tokenizers
+
+        # the same model for runs: they are in lower case and apart already
+        self.of_runs = Tokenizer.from_file(path)
+        self.of_runs.normalizer = None
+        self.of_runs.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        if suffix:
-            self.is_end[[i for w, i in vocabulary.items() if w.endswith(suffix)]] = True
-        self._forget_words()
-        self._forget_parts()
-
-    def _forget_words(self) -> None:
-        self.words: dict[bytes, int] = {}  # word -> its number
+        self.is_end[[i for w, i in vocabulary.items() if w.endswith(suffix)]] = True
+        self.table, self.long, self.uses = RunTable(table_bits), {}, np.zeros(0, dtype=np.int32)  # long: longer runs by their bytes
         self.ids, self.starts = np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
 
-    def _forget_parts(self) -> None:
-        self.parts: dict[str, int] = {"": 0}
-        self.part_ids, self.part_starts = np.zeros(0, dtype="<u4"), np.zeros(2, dtype=np.int64)
+    @staticmethod
+    def _known(made: dict) -> bool:
+        steps = lambda x, inner: (x or {}).get(inner, [x])
+        special = all("<|" in x["content"] and not x["normalized"] and not any(c.isspace() for c in x["content"]) for x in made["added_tokens"])
+        model = made["model"]
+        return (
+            steps(made["normalizer"], "normalizers") == NORMALIZERS
+            and steps(made["pre_tokenizer"], "pretokenizers") == SPLITTERS
+            and model["type"] == "BPE"
+            and not (model["dropout"] or model["continuing_subword_prefix"] or model["ignore_merges"] or made["truncation"] or made["padding"])
+            and special
+        )
+
+    def _forget(self) -> None:
+        """All but the runs that were met more than once; all, if those are too many."""
+        old, self.table, self.long = self.table, RunTable(self.table_bits), {}
+        kept = np.flatnonzero(old.value >= 0)
+        kept = kept[self.uses[old.value[kept]] > 1]
+        if 2 * len(kept) > self.room:
+            kept = kept[:0]
+        number = old.value[kept].astype(np.int64)
+        length = self.starts[number + 1] - self.starts[number]
+        self.ids = self._gather(self.ids, self.starts[number], length)
+        self.starts = np.concatenate(([0], np.cumsum(length)))
+        self.table.add(old.low[kept], old.high[kept], 0)
+        self.uses = np.zeros(len(kept), dtype=np.int32)
 
     @staticmethod
-    def _gather(ids: np.ndarray, starts: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all runs in ``index``, one after the other, and the runs' lengths."""
-        length = starts[index + 1] - starts[index]
+    def _gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The stretches of ``data``, one after the other."""
         ends = np.cumsum(length)
-        return ids[np.repeat(starts[index] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)], length
-
-    def _learn_parts(self, new: list[str]) -> None:
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            got = self.tokenizer.encode_batch_fast([" ".join(some[k : k + 200]) for k in range(0, len(some), 200)], add_special_tokens=False)
+        return data[np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def _learn(self, buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> None:
+        """Distinct new runs get the next numbers."""
+        spaced = np.append(buf, np.uint8(32))
+        for at in range(0, len(start), 20_000):
+            a, n = start[at : at + 20_000], length[at : at + 20_000]
+            index = np.stack([a, np.full(len(a), len(buf))], axis=1).ravel()
+            each = np.stack([n, np.ones_like(n)], axis=1).ravel()
+            text, cuts = self._gather(spaced, index, each).tobytes().decode("latin-1"), np.concatenate(([0], np.cumsum(n + 1)))[::200].tolist()
+            got = self.of_runs.encode_batch_fast([text[x:y] for x, y in zip(cuts, [*cuts[1:], len(text)], strict=True) if x < y], add_special_tokens=False)
             ids = np.concatenate([np.array(x.ids, dtype="<u4") for x in got])
             ends = np.flatnonzero(self.is_end[ids]) + 1
-            if len(ends) != len(some):
-                raise ValueError("a part is not one token run")
-            self.parts.update(zip(some, range(len(self.part_starts) - 1, len(self.part_starts) - 1 + len(some)), strict=True))
-            self.part_starts = np.concatenate((self.part_starts, len(self.part_ids) + ends))
-            self.part_ids = np.concatenate((self.part_ids, ids))
-
-    def _learn(self, new: list[bytes]) -> None:
-        plain, split, other = [], [], []
-        for w in new:
-            t = w.decode()
-            m = PARTS.fullmatch(t)
-            if m and "<|" not in t:
-                a, b, c = m.groups()
-                plain.append(w)
-                split += (a, b.lower(), c)
-            else:
-                other.append((w, t))
-        unknown = set(split).difference(self.parts)
-        if unknown:
-            self._learn_parts(list(unknown))
-        index = np.fromiter(map(self.parts.__getitem__, split), dtype=np.int64, count=len(split))
-        ids, length = self._gather(self.part_ids, self.part_starts, index)
-        length = length.reshape(-1, 3).sum(axis=1)
-        if other:
-            got = [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)]
-            ids, length = np.concatenate((ids, *got)), np.concatenate((length, [len(x) for x in got]))
-        first = len(self.starts) - 1
-        self.words.update(zip([*plain, *(w for w, _ in other)], range(first, first + len(length)), strict=True))
-        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(length, dtype=np.int64)))
-        self.ids = np.concatenate((self.ids, ids.astype("<u4")))
+            if len(ends) != len(a):
+                raise ValueError("a run of characters is not one run of tokens")
+            self.starts = np.concatenate((self.starts, len(self.ids) + ends))
+            self.ids = np.concatenate((self.ids, ids))
+
+    def _numbers(self, buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The numbers of runs of plain characters; new ones are learned."""
+        out = np.zeros(len(start), dtype=np.int64)
+        words = np.ndarray((len(buf) - 7,), dtype="<u8", buffer=buf, strides=(1,))
+        short = length <= 16
+        a, n = start[short], length[short]
+        low, high = words[a] & FIRST[np.minimum(n, 8)], words[a + 8] & FIRST[np.maximum(n, 8) - 8]
+        found = self.table.find(low, high)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            order = new[np.lexsort((low[new], high[new]))]
+            first = np.concatenate(([True], (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])))
+            once, base = order[first], len(self.starts) - 1
+            self._learn(buf, a[once], n[once])
+            self.table.add(low[once], high[once], base)
+            found[order] = base + np.cumsum(first) - 1
+        out[short] = found
+        far = np.flatnonzero(~short)
+        if len(far):
+            names = [buf[x : x + k].tobytes() for x, k in zip(start[far].tolist(), length[far].tolist(), strict=True)]
+            some = {w: k for k, w in enumerate(names) if w not in self.long}
+            if some:
+                base, at = len(self.starts) - 1, far[list(some.values())]
+                self._learn(buf, start[at], length[at])
+                self.long.update(zip(some, range(base, base + len(some)), strict=True))
+            out[far] = [self.long[w] for w in names]
+        uses = np.bincount(out, minlength=len(self.starts) - 1).astype(np.int32)
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
+        return out
+
+    @staticmethod
+    def _plain_bytes(text: str, holes: list[str]) -> bytes:
+        """One byte a character; a word that the arrays cannot take is a mark, and goes to ``holes``."""
+        if "<|" not in text and PLAIN.fullmatch(text):
+            return text.encode("latin-1")
+        points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+        space = (points == 32) | (points >= 9) & (points <= 13)
+        odd = ~IS_PLAIN[np.minimum(points, 255)] | (points > 255)
+        odd[:-1] |= (points[:-1] == ord("<")) & (points[1:] == ord("|"))
+        edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True]))))
+        begin, end = edges[::2], edges[1::2]  # words
+        count = np.concatenate(([0], np.cumsum(odd)))
+        bad = count[end] > count[begin]
+        out, keep = np.minimum(points, 255).astype(np.uint8), np.ones(len(points), dtype=bool)
+        for x, y in zip(begin[bad].tolist(), end[bad].tolist(), strict=True):
+            holes.append(text[x:y])
+            keep[x:y] = False
+            out[x], keep[x] = HOLE_MARK, True
+        return out[keep].tobytes()
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``end_id``, and the number of ids of each text."""
-        if not self.by_word:
+        if not self.by_run:
             own = [[*x.ids, end_id] for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
             return np.array([i for x in own for i in x], dtype="<u4"), np.array([len(x) for x in own], dtype=np.int64)
-        words = [x.encode().split() for x in texts]  # at ASCII white space; the library itself splits at other spaces
-        for x in words:
-            x.append(b" ")  # stands for end_id: no word is a space
-        per_text = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        flat = [w for x in words for w in x]
-        batch = set(flat)
-        batch.discard(b" ")
-        new = batch.difference(self.words)
-        if len(self.words) + len(new) > self.room:
-            self._forget_words()
-            new = batch
-        if len(self.parts) > self.room_parts:
-            self._forget_parts()
-        if new:
-            self._learn(list(new))
-        self.words[b" "] = len(self.starts) - 1
-        index = np.fromiter(map(self.words.__getitem__, flat), dtype=np.int64, count=len(flat))
-        del self.words[b" "]
-        ids, length = self._gather(np.append(self.ids, np.uint32(end_id)), np.append(self.starts, len(self.ids) + 1), index)
-        last = np.cumsum(length)[np.cumsum(per_text) - 1] if len(per_text) else np.zeros(0, dtype=np.int64)
-        return ids, np.diff(np.concatenate(([0], last)))
+        if self.table.n + 8 * len(self.long) > self.room:
+            self._forget()
+        holes: list[str] = []
+        raw = bytes([END_MARK]).join([*(self._plain_bytes(x, holes) for x in texts), bytes(24)])
+        buf = LOWER[np.frombuffer(raw, dtype=np.uint8)]
+        kind = KIND[buf[:-24]]  # the end mark of the last text, without the room behind it
+        start = np.concatenate(([True], kind[1:] != kind[:-1])) | (kind == DIGIT) | (kind == END) | (kind == HOLE)
+        # contractions: an apostrophe that begins a run takes the letters after it
+        sign = np.flatnonzero((buf[: len(kind)] == ord("'")) & start)
+        x, y = buf[sign + 1], buf[sign + 2]
+        two = np.isin(x, np.frombuffer(b"stmd", dtype=np.uint8))
+        three = (y == ord("e")) & ((x == ord("r")) | (x == ord("v"))) | (x == ord("l")) & (y == ord("l"))
+        cut = two | three
+        start[sign[cut] + 1] = False
+        start[sign[cut] + np.where(two[cut], 2, 3)] = True
+        at = np.flatnonzero(start)
+        length, what = np.diff(np.append(at, len(kind))), kind[at]
+        runs = what != SPACE
+        at, length, what = at[runs], length[runs], what[runs]
+        is_end, is_hole = what == END, what == HOLE
+        plain = ~(is_end | is_hole)
+        number = np.zeros(len(at), dtype=np.int64)
+        number[plain] = self._numbers(buf, at[plain], length[plain])
+        pool, starts = [self.ids, np.array([end_id], dtype="<u4")], [self.starts, [len(self.ids) + 1]]
+        number[is_end] = len(self.starts) - 1
+        if holes:
+            place = {w: k for k, w in enumerate(dict.fromkeys(holes))}
+            got = [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(list(place), add_special_tokens=False)]
+            pool += got
+            starts.append(len(self.ids) + 1 + np.cumsum([len(x) for x in got]))
+            number[is_hole] = [len(self.starts) + place[w] for w in holes]
+        ids, starts = np.concatenate(pool), np.concatenate(starts)
+        each = starts[number + 1] - starts[number]
+        last = np.cumsum(each)[is_end]
+        return self._gather(ids, starts[number], each), np.diff(np.concatenate(([0], last)))
+
+
+#: Characters encoded in one step.
+STEP_CHARS = 1 << 19
+WHITE = re.compile("[\t-\r ]")
+
+
+def stretches(text: str, size: int) -> Iterator[tuple[str, bool]]:
+    """The text in stretches of ``size`` characters or more that end before ASCII white space, and whether each is the last."""
+    at = 0
+    while len(text) - at > size and (m := WHITE.search(text, at + size)):
+        yield text[at : m.start()], False
+        at = m.start()
+    yield text[at:] if at else text, True
 
 
 def encode_to_files(
@@ -236,30 +428,36 @@ def encode_to_files(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text).withColumn("tie", F.xxhash64("text"))
     rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
+    def steps(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
+        """Stretches of texts, as (doc_id, stretch, whether the text ends with it), of about ``STEP_CHARS`` in all."""
+        some, size = [], 0
+        for b in batches:
+            for name, text in zip(b["doc_id"].astype(object).where(b["doc_id"].notna(), None).tolist(), b["text"].tolist(), strict=True):
+                for stretch, last in stretches(text, STEP_CHARS):
+                    if some and size + len(stretch) > STEP_CHARS:
+                        yield some
+                        some, size = [], 0
+                    some.append((name, stretch, last))
+                    size += len(stretch)
+        if some:
+            yield some
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = kept(("encoder", tokenizer_file), lambda: WordCachingEncoder(tokenizer_file))
-        task, before = TaskContext.get().partitionId(), 0
-        ids, doc_ids, counts, held = [], [], [], 0
-        for batch in batches:
-            texts, names = batch["text"].tolist(), batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None).tolist()
-            at = 0
-            while at < len(texts):
-                size, to = 0, at
-                while to < len(texts) and (to == at or size + len(texts[to]) <= 1 << 21):
-                    size, to = size + len(texts[to]), to + 1
-                got, n = encoder.encode(texts[at:to], end_id)
-                done = 0
-                for name, k in zip(names[at:to], n.tolist(), strict=True):
-                    ids.append(got[done : done + k])
-                    doc_ids.append(name)
-                    counts.append(k)
-                    done, held = done + k, held + k
-                    if held >= segment_tokens:
-                        yield pd.DataFrame({"segment": [pack_segment(np.concatenate(ids), doc_ids, counts, task, before)]})
-                        ids, doc_ids, counts, held, before = [], [], [], 0, before + held
-                at = to
-        if doc_ids:
-            yield pd.DataFrame({"segment": [pack_segment(np.concatenate(ids), doc_ids, counts, task, before)]})
+        encoder = kept(("encoder", tokenizer_file), lambda: RunCachingEncoder(tokenizer_file))
+        task, before, out = TaskContext.get().partitionId(), 0, SegmentWriter()
+        for some in steps(batches):
+            ids, n = encoder.encode([x for _, x, _ in some], end_id)
+            done = 0
+            for (name, _, last), k in zip(some, n.tolist(), strict=True):
+                out.add(ids[done : done + k - (not last)])
+                done += k
+                if last:
+                    out.end_document(name)
+                    if out.n >= segment_tokens:
+                        yield pd.DataFrame({"segment": [out.pack(task, before)]})
+                        before, out = before + out.n, SegmentWriter()
+        if out.doc_ids:
+            yield pd.DataFrame({"segment": [out.pack(task, before)]})
 
     packed = rows.select("doc_id", "text").mapInPandas(run, "segment binary")
     # The text writer puts a string's bytes into the file as they are, and a binary cast to string keeps its bytes

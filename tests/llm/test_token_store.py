@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 from moneyflow.llm import token_store as S
 
 PATH = P.path("word_bpe_49k.json")
-TOKENIZER, SMALL = Tokenizer.from_file(PATH), S.WordCachingEncoder(PATH, cache_words=5, cache_parts=5)
+TOKENIZER, SMALL = Tokenizer.from_file(PATH), S.RunCachingEncoder(PATH, table_bits=3, room=5)
 
 
 @settings(max_examples=60, deadline=None)
@@ -31,7 +31,7 @@ def test_round_trip_and_random_access(docs):
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=60) | st.text(alphabet="aB'sß Σς\t\n ́\x1c<|endoftext>", max_size=40), min_size=1, max_size=5))
-def test_word_cache_equals_whole_texts(texts):
+def test_run_cache_equals_whole_texts(texts):
     got, n = SMALL.encode(texts, 1)
     want = [TOKENIZER.encode(t, add_special_tokens=False).ids + [1] for t in texts]
     assert n.tolist() == [len(w) for w in want] and got.tolist() == [x for w in want for x in w]
