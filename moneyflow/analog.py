@@ -16,7 +16,7 @@ CYCLE = 2024
 VIEWS: dict[str, tuple[list[str], str]] = {
     "cm": (
         ["supplier", "nation", "region"],
-        """SELECT concat('C', cast(s_suppkey AS string)) AS cmte_id, s_name AS cmte_nm,
+        """SELECT concat('C', cast(s_suppkey AS string)) AS cmte_id, CASE WHEN s_suppkey % 5 = 0 THEN 'SHARED NAME' ELSE s_name END AS cmte_nm,
  CASE s_suppkey % 8 WHEN 0 THEN 'H' WHEN 1 THEN 'S' WHEN 2 THEN 'P' WHEN 3 THEN 'X' WHEN 4 THEN 'Y' WHEN 5 THEN 'O' WHEN 6 THEN 'Q' ELSE 'Z' END AS cmte_tp,
  CASE s_suppkey % 3 WHEN 0 THEN 'P' WHEN 1 THEN 'U' ELSE 'A' END AS cmte_dsgn,
  CASE WHEN s_suppkey % 4 = 0 THEN '' WHEN r_name IN ('AMERICA', 'EUROPE') THEN 'DEM' WHEN r_name IN ('ASIA', 'AFRICA') THEN 'REP' ELSE 'IND' END AS cmte_pty_affiliation,
@@ -28,7 +28,7 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionke
         """SELECT concat('N', cast(n_nationkey AS string)) AS cand_id, n_name AS cand_name,
  CASE WHEN r_name IN ('AMERICA', 'EUROPE') THEN 'DEM' WHEN r_name IN ('ASIA', 'AFRICA') THEN 'REP' ELSE 'IND' END AS cand_pty_affiliation,
  CASE WHEN n_nationkey % 7 = 6 THEN '2022' ELSE '2024' END AS cand_election_yr,
- CASE n_nationkey % 4 WHEN 0 THEN 'WY' WHEN 1 THEN 'CA' WHEN 2 THEN 'TX' ELSE 'QQ' END AS cand_office_st,
+ CASE n_nationkey % 5 WHEN 0 THEN 'WY' WHEN 1 THEN 'CA' WHEN 2 THEN ' ca' WHEN 3 THEN 'US' ELSE 'QQ' END AS cand_office_st,
  CASE n_nationkey % 3 WHEN 0 THEN 'H' WHEN 1 THEN 'H' ELSE 'S' END AS cand_office,
  CASE n_nationkey % 6 WHEN 0 THEN '00' WHEN 1 THEN '7' WHEN 2 THEN '07.0' WHEN 3 THEN '99' WHEN 4 THEN '' ELSE '12' END AS cand_office_district,
  cast(n_nationkey AS bigint) AS _row_ord
@@ -81,13 +81,15 @@ UNION ALL SELECT 'FURNITURE', 'TRUE', '', 'blank', 'BRASS9', '', cast(5 AS bigin
  concat('Q', cast(quarter(o_orderdate) AS string)) AS filing_period_display, CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE o_custkey END AS client_api_id,
  CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE c_name END AS client_name, o_custkey % 13 AS registrant_api_id, concat('REG ', cast(o_custkey % 13 AS string)) AS registrant_name,
  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS income, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS expenses,
- concat(cast(year(o_orderdate) AS string), '-', lpad(cast(month(o_orderdate) AS string), 2, '0')) AS dt_posted, cast(o_orderkey % 4 AS bigint) AS n_activities,
+ concat(cast(year(o_orderdate) AS string), '-', lpad(cast(month(o_orderdate) AS string), 2, '0')) AS dt_posted, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE cast(o_orderkey % 4 AS bigint) END AS n_activities,
+ cast(o_orderkey % 3 AS bigint) AS n_foreign_entities, cast(o_orderkey % 2 AS bigint) AS n_affiliated_organizations,
+ CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderkey % 4 END AS lobbyist_api_id, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE concat('Lobbyist ', cast(o_orderkey % 4 AS string)) END AS lobbyist_name,
  o_orderstatus = 'P' AS no_contributions
 FROM orders JOIN customer ON o_custkey = c_custkey""",
     ),
     "activities": (
         ["lineitem"],
-        """SELECT concat('F', cast(l_orderkey AS string)) AS filing_uuid, concat('F', cast(l_orderkey AS string), ':activity:', cast(l_linenumber AS string)) AS activity_id,
+        """SELECT concat('F', cast(l_orderkey AS string)) AS filing_uuid, concat('F', cast(l_orderkey AS string), ':activity:', cast(l_linenumber % 5 AS string)) AS activity_id,
  concat('I', cast(l_partkey % 7 AS string)) AS general_issue_code, concat('Issue ', cast(l_partkey % 7 AS string)) AS general_issue_code_display,
  cast(l_suppkey AS bigint) AS lobbyist_api_id, concat('First ', cast(l_suppkey AS string)) AS lobbyist_first_name, concat('Last ', cast(l_suppkey % 5 AS string)) AS lobbyist_last_name,
  CASE WHEN l_returnflag = 'R' THEN 'Staff' END AS covered_position, l_linestatus = 'O' AS is_new,

@@ -23,6 +23,12 @@ def money_sum(c: Column) -> Column:
     return F.coalesce(F.sum(c.cast(MONEY)), F.lit(0).cast(MONEY)).cast("double")
 
 
+def total(c: Column | str) -> Column:
+    """An exact sum of money, as decimal; 0 for a group without values. Sums of such sums stay exact."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(F.sum(c.cast(MONEY)), F.lit(0).cast(MONEY))
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, null where b is 0 or null."""
     return F.try_divide(a.cast("double"), b.cast("double"))

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
+from moneyflow.operators.staging import in_ranges
+
 
 def blank_safe(df: DataFrame) -> DataFrame:
     """Missing text is '', never null: comparisons such as memo != 'X' then keep the row."""
@@ -91,6 +93,11 @@ def concat_distinct(c: Column, sep: str = "; ") -> Column:
     return F.array_join(F.array_sort(F.collect_set(c)), sep)
 
 
+def concat_sets(c: Column, sep: str = "; ") -> Column:
+    """Aggregate over arrays: sorted distinct members, blank ones too."""
+    return F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), sep)
+
+
 def concat_distinct_parts(c: Column, sep: str = "; ") -> Column:
     """Aggregate over arrays: sorted distinct non-blank members."""
     parts = F.array_distinct(F.flatten(F.collect_list(c)))
@@ -109,9 +116,26 @@ def running_total(c: str, order: Sequence[Column], keys: Sequence[str] = ()) ->
     return F.sum(F.col(c).cast("decimal(28,2)")).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)).cast("double")
 
 
-def weekly(df: DataFrame, week: str, keys: Sequence[str], metrics: dict[str, Column], cumulative: tuple[str, str] | None = None) -> DataFrame:
+def grouped(df: DataFrame, keys: Sequence[str], sums: dict[str, Column], distinct: dict[str, str]) -> DataFrame:
+    """Aggregates that add up, and numbers of distinct values ({name: column}), by keys; missing keys are groups, too.
+
+    ``sums`` are sums or counts of columns. Every number comes from an aggregate of its own over (keys, value), the
+    first of which carries the sums; no row is multiplied, and a hot key is spread over its values.
+    """
+    out = None
+    for k, (name, c) in enumerate(distinct.items()):
+        inner = df.groupBy(*keys, F.col(c).alias("__v")).agg(*[a.alias(n) for n, a in sums.items()] if k == 0 else [F.lit(1).alias("__one")])
+        part = inner.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in sums] if k == 0 else [], F.count("__v").alias(name))
+        if out is None:
+            out = part
+        else:
+            out = null_safe_join(out, part, keys, "inner") if keys else out.join(part, F.lit(True))  # one row each
+    return out
+
+
+def weekly(df: DataFrame, week: str, keys: Sequence[str], metrics: dict[str, Column], cumulative: tuple[str, str] | None = None, distinct: dict[str, str] | None = None) -> DataFrame:
     """Metrics by week (and keys); weeks without rows stay absent. ``cumulative``: (metric, name of its running total)."""
-    out = df.groupBy(*keys, week).agg(*[m.alias(n) for n, m in metrics.items()])
+    out = grouped(df, [*keys, week], metrics, distinct) if distinct else df.groupBy(*keys, week).agg(*[m.alias(n) for n, m in metrics.items()])
     if cumulative:
         out = out.withColumn(cumulative[1], running_total(cumulative[0], [F.col(week).asc()], keys))
     return out
@@ -159,17 +183,43 @@ def value_counts(df: DataFrame, c: str) -> DataFrame:
 
 
 def five_numbers(df: DataFrame, c: str) -> DataFrame:
-    """Count, mean, extremes and exact quartiles."""
-    q = F.percentile(F.col(c), [0.25, 0.5, 0.75])
-    rows = df.agg(F.count(c).alias("n"), F.avg(F.col(c).cast("decimal(18,2)")).cast("double").alias("mean"), F.min(c).alias("low"), F.max(c).alias("high"), q.alias("q"))
-    return rows.select("n", "mean", "low", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "high")
+    """Count, mean, extremes and exact quartiles (interpolated).
+
+    Values are counted, dealt to ranges, and only the ranges that hold a wanted rank are put in order: no task gets
+    all distinct values.
+    """
+    counted = in_ranges(df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n")), [F.col(c)], "values")
+    per = counted.groupBy("__p").agg(F.sum("__n").alias("__m"))  # one row a range
+    per = per.withColumn("__before", F.sum("__m").over(Window.orderBy("__p")) - F.col("__m"))
+    whole = counted.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("n"), (F.sum(F.col(c).cast("decimal(18,2)") * F.col("__n")) / F.sum("__n")).cast("decimal(22,6)").cast("double").alias("mean"), F.min(c).alias("low"), F.max(c).alias("high")
+    )
+    quarters = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    at = lambda q: (F.col("n") - 1) * q
+    near = per.join(whole, F.lit(True)).where(F.exists(F.array(*[f(at(q)) for q in quarters.values() for f in (F.floor, F.ceil)]), lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__m"))))
+    rows = counted.join(near.select("__p", "__before", "n"), "__p")
+    rows = rows.withColumn("__to", F.col("__before") + F.sum("__n").over(Window.partitionBy("__p").orderBy(c)))
+    found = rows.agg(*[F.min(F.when(F.col("__to") > f(at(q)), F.col(c))).alias(f"{name}_{k}") for name, q in quarters.items() for k, f in enumerate((F.floor, F.ceil))])
+    part = lambda name, q: (F.col(f"{name}_0") + (F.col(f"{name}_1") - F.col(f"{name}_0")) * (at(q) - F.floor(at(q)))).alias(name)
+    return whole.join(found, F.lit(True)).select("n", "mean", "low", *[part(*x) for x in quarters.items()], "high")  # one row each
 
 
 def is_sorted(df: DataFrame, c: str, order: Sequence[Column], keys: Sequence[str]) -> DataFrame:
-    """For each group, whether a column never falls (or never rises) in the given order."""
-    before = F.lag(c).over(Window.partitionBy(*keys).orderBy(*order))
-    rows = df.withColumn("__b", before)
-    return rows.groupBy(*keys).agg(
-        F.coalesce(F.bool_and(F.col(c) >= F.col("__b")), F.lit(True)).alias("ascending"),
-        F.coalesce(F.bool_and(F.col(c) <= F.col("__b")), F.lit(True)).alias("descending"),
+    """For each group, whether a column never falls (or never rises) in the given order.
+
+    Rows are compared range by range, then the ends of a group's ranges: a hot group is many ranges.
+    """
+    rows = in_ranges(df, [*[F.col(k) for k in keys], *order], "sorted")
+    by = Window.partitionBy(*keys, "__p").orderBy(*order)
+    rows = rows.withColumn("__b", F.lag(c).over(by)).withColumn("__i", F.row_number().over(by))
+    per = rows.groupBy(*keys, "__p").agg(
+        F.bool_and(F.col(c) >= F.col("__b")).alias("up"), F.bool_and(F.col(c) <= F.col("__b")).alias("down"),
+        F.min_by(F.struct(F.col(c).alias("v")), "__i").alias("first"), F.max_by(F.struct(F.col(c).alias("v")), "__i").alias("last"),
+    )
+    before, first = F.lag("last").over(Window.partitionBy(*keys).orderBy("__p")), F.col("first.v")
+    per = per.withColumn("__b", before["v"])
+    yes = F.lit(True)
+    return per.groupBy(*keys).agg(
+        F.bool_and(F.coalesce("up", yes) & F.coalesce(first >= F.col("__b"), yes)).alias("ascending"),
+        F.bool_and(F.coalesce("down", yes) & F.coalesce(first <= F.col("__b"), yes)).alias("descending"),
     )

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from moneyflow.functions import numbers as N
 from moneyflow.operators import relational as R
 
+# Types of committees whose filed party counts by itself
 FILED_TYPES = ["H", "P", "S", "X", "Y"]
 
 
@@ -88,9 +89,9 @@ def with_committee_party(tagged: DataFrame, classes: DataFrame) -> DataFrame:
     return tagged.join(party, "cmte_id", "left").withColumn("cmte_party", F.coalesce("cmte_party", F.lit("Unknown")))
 
 
-def classify_donors(tagged: DataFrame, classes: DataFrame) -> DataFrame:
+def classify_donors(giving: DataFrame, classes: DataFrame) -> DataFrame:
     """One row for each donor name, by where its money went."""
-    rows = R.drop_null_keys(with_committee_party(tagged, classes), ["name"])
+    rows = R.drop_null_keys(with_committee_party(giving, classes), ["name"])
     out = R.split_sums(rows, ["name"], F.col("cmte_party"), F.col("net_amt"), BUCKETS)
     d, r = F.col("D"), F.col("R")
     total = d + r + F.col("Mixed") + F.col("Unknown")
@@ -101,13 +102,16 @@ def classify_donors(tagged: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def company_by_donor_party(tagged: DataFrame, donors: DataFrame) -> DataFrame:
-    """Tech money and donors of each company by the donors' party."""
-    rows = R.drop_null_keys(tagged.where("is_tech_employer"), ["tech_canonical_name"]).join(donors.select("name", "donor_party"), "name", "left")
-    rows = rows.withColumn("donor_party", F.coalesce("donor_party", F.lit("Unknown")))
-    per = rows.groupBy("tech_canonical_name", "donor_party").agg(N.money_sum(F.col("net_amt")).alias("amt"), F.count_distinct("name").alias("n"))
+def company_by_donor_party(giving: DataFrame, donors: DataFrame) -> DataFrame:
+    """Tech money and donors of each company by the donors' party; a donor of two companies counts in both."""
+    keys = ["tech_canonical_name", "name"]
+    rows = R.drop_null_keys(giving.where("is_tech_employer"), keys).groupBy(*keys).agg(N.total("net_amt").alias("amt"))
+    rows = rows.join(donors.select("name", "donor_party"), "name", "left").withColumn("donor_party", F.coalesce("donor_party", F.lit("Unknown")))
     parties = list(BUCKETS)
-    out = R.pivot_sums(per, ["tech_canonical_name"], "donor_party", {"donor_amt": F.sum("amt"), "n_donors": F.sum("n")}, parties)
-    total = R.row_total([f"donor_amt_{p}" for p in parties])
+    out = R.pivot_sums(rows, ["tech_canonical_name"], "donor_party", {"donor_amt": F.sum("amt"), "n_donors": F.count(F.lit(1))}, parties)
+    out = out.select("tech_canonical_name", *[F.col(f"donor_amt_{p}").cast("double").alias(f"donor_amt_{p}") for p in parties], *[f"n_donors_{p}" for p in parties])
     d, r = F.col("donor_amt_D"), F.col("donor_amt_R")
-    return out.withColumn("donor_amt_total", total).withColumn("pct_dem_by_donor", N.pct(d, d + r))
+    return out.select(
+        "*", R.row_total([f"donor_amt_{p}" for p in parties]).alias("donor_amt_total"), sum((F.col(f"n_donors_{p}") for p in parties), F.lit(0)).alias("n_donors_total"),
+        N.pct(d, d + r).alias("pct_dem_by_donor"),
+    )

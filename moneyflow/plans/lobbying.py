@@ -31,15 +31,23 @@ def completeness(pages: DataFrame, key: str = "filing_uuid") -> DataFrame:
 
 
 def tied_boundaries(rows: DataFrame, stamp: str = "dt_posted", key: str = "filing_uuid") -> DataFrame:
-    """Pages whose first row has the same time stamp as the last row of the page before: rows may have slipped."""
-    ends = rows.groupBy("_page").agg(
-        F.min_by(F.struct(F.col(stamp).alias("t"), F.col(key).alias("k")), "_pos").alias("first"), F.max_by(F.struct(F.col(stamp).alias("t"), F.col(key).alias("k")), "_pos").alias("last")
-    )
-    before = F.lag("last").over(Window.partitionBy().orderBy("_page"))  # one row a page
-    out = ends.withColumn("before", before).where(F.col("before.t") == F.col("first.t"))
+    """Pages whose first row has the same time stamp as the last row of the page before: rows may have slipped.
+
+    Neighbours are found within blocks of pages; a block's first page looks at the last page of the block before.
+    """
+    end = F.struct(F.col(stamp).alias("t"), F.col(key).alias("k"))
+    ends = rows.groupBy("_page").agg(F.min_by(end, "_pos").alias("first"), F.max_by(end, "_pos").alias("last")).withColumn("__block", F.floor(F.col("_page") / PAGE_BLOCK))
+    blocks = ends.groupBy("__block").agg(F.max_by("last", "_page").alias("__last")).withColumn("__before", F.lag("__last").over(Window.orderBy("__block")))  # one row a block
+    before = F.lag("last").over(Window.partitionBy("__block").orderBy("_page"))
+    out = ends.withColumn("before", before).join(blocks.select("__block", "__before"), "__block").withColumn("before", F.coalesce("before", "__before"))
+    out = out.where(F.col("before.t") == F.col("first.t"))
     return out.select("_page", F.col("first.t").alias(stamp), F.col("before.k").alias("last_key_before"), F.col("first.k").alias("first_key"))
 
 
+#: Pages whose ends one task holds.
+PAGE_BLOCK = 100_000
+
+
 def unseen(new: DataFrame, known: DataFrame, key: str = "filing_uuid") -> DataFrame:
     """Rows to append: ids that the snapshot lacks."""
     return new.join(known.select(key).distinct(), key, "left_anti")
@@ -223,9 +231,9 @@ def flatten(filed: DataFrame, reports: DataFrame) -> dict[str, DataFrame]:
 PERIOD = ["filing_year", "filing_period", "filing_period_display"]
 
 
-def _spend() -> list[Column]:
+def _spend(names: tuple[str, str] = ("total_income", "total_expenses")) -> list[Column]:
     income, expenses = N.money_sum(F.col("income")), N.money_sum(F.col("expenses"))
-    return [income.alias("total_income"), expenses.alias("total_expenses"), (income + expenses).alias("total_reported_spend")]
+    return [income.alias(names[0]), expenses.alias(names[1]), (income + expenses).alias("total_reported_spend")]
 
 
 def _ordered(df: DataFrame) -> DataFrame:
@@ -233,38 +241,54 @@ def _ordered(df: DataFrame) -> DataFrame:
 
 
 def client_quarter(filed: DataFrame) -> DataFrame:
+    count = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
     out = filed.groupBy(*PERIOD, "client_api_id", "client_name").agg(
-        F.count_distinct("filing_uuid").alias("n_filings"), F.count_distinct("registrant_api_id").alias("n_registrants"), *_spend(), F.sum("n_activities").alias("n_activities")
-    )
+        F.count_distinct("filing_uuid").alias("n_filings"), F.count_distinct("registrant_api_id").alias("n_registrants"), *_spend(), count("n_activities", "total_activities"),
+        count("n_foreign_entities", "total_foreign_entities"), count("n_affiliated_organizations", "total_affiliated_organizations"),
+    )
     return _ordered(out)
 
 
-def _activity_facts(activities: DataFrame, filed: DataFrame) -> DataFrame:
-    """Activities with their filing's columns: a filing's income repeats for each activity, sums over issues do not add up."""
-    return activities.join(filed.select("filing_uuid", *PERIOD, "client_api_id", "client_name", "registrant_api_id", "income", "expenses"), "filing_uuid", "left")
+def _by_filing(activities: DataFrame, filed: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Activities added up by key, filing and activity id, with the filing's columns; ``__rows`` counts them.
+
+    A filing's income repeats for each activity row, so sums over issues do not add up to the filings' own.
+    """
+    own = activities.groupBy("filing_uuid", "activity_id", *keys).agg(F.count(F.lit(1)).alias("__rows"))
+    return own.join(filed.select("filing_uuid", *PERIOD, *columns), "filing_uuid", "left")
+
+
+def _issue_sums() -> list[Column]:
+    income, expenses = (F.sum(F.col(c).cast(N.MONEY) * F.col("__rows")) for c in ("income", "expenses"))
+    income, expenses = (F.coalesce(c.cast("double"), F.lit(0.0)) for c in (income, expenses))
+    return [income.alias("income_sum"), expenses.alias("expenses_sum"), (income + expenses).alias("total_reported_spend")]
+
+
+ISSUE = ["general_issue_code", "general_issue_code_display"]
 
 
 def client_issue(activities: DataFrame, filed: DataFrame) -> DataFrame:
-    keys = [*PERIOD, "client_api_id", "client_name", "general_issue_code", "general_issue_code_display"]
-    out = _activity_facts(activities, filed).groupBy(*keys).agg(
-        F.count_distinct("filing_uuid").alias("n_filings"), F.count(F.lit(1)).alias("n_activities"), F.count_distinct("registrant_api_id").alias("n_registrants"), *_spend()
+    keys = [*PERIOD, "client_api_id", "client_name", *ISSUE]
+    out = _by_filing(activities, filed, ISSUE, ["client_api_id", "client_name", "income", "expenses"]).groupBy(*keys).agg(
+        F.count_distinct("filing_uuid").alias("n_filings"), F.count_distinct("activity_id").alias("n_activities"), *_issue_sums()
     )
     return _ordered(out)
 
 
 def issue_quarter(activities: DataFrame, filed: DataFrame) -> DataFrame:
-    out = _activity_facts(activities, filed).groupBy(*PERIOD, "general_issue_code", "general_issue_code_display").agg(
-        F.count_distinct("filing_uuid").alias("n_filings"), F.count(F.lit(1)).alias("n_activities"), F.count_distinct("client_api_id").alias("n_clients"),
-        F.count_distinct("registrant_api_id").alias("n_registrants"), *_spend(),
-    )
+    out = _by_filing(activities, filed, ISSUE, ["client_api_id", "income", "expenses"]).groupBy(*PERIOD, *ISSUE).agg(
+        F.count_distinct("filing_uuid").alias("n_filings"), F.count_distinct("client_api_id").alias("n_clients"), F.count_distinct("activity_id").alias("n_activities"), *_issue_sums()
+    )
     return _ordered(out)
 
 
 def client_lobbyist(people: DataFrame, filed: DataFrame) -> DataFrame:
-    rows = people.join(filed.select("filing_uuid", *PERIOD, "client_api_id", "client_name"), "filing_uuid", "left")
-    out = rows.groupBy(*PERIOD, "client_api_id", "client_name", "lobbyist_api_id", "lobbyist_first_name", "lobbyist_last_name").agg(
-        F.count_distinct("filing_uuid").alias("n_filings"), F.count_distinct("activity_id").alias("n_activities"),
-        F.count("covered_position").alias("n_covered_positions"), F.bool_or("is_new").alias("is_new"),
+    who = ["lobbyist_api_id", "lobbyist_first_name", "lobbyist_last_name"]
+    own = people.groupBy("filing_uuid", "activity_id", *who).agg(F.count("covered_position").alias("__covered"), F.bool_or("is_new").alias("__new"))
+    rows = own.join(filed.select("filing_uuid", *PERIOD, "client_api_id", "client_name", "registrant_api_id"), "filing_uuid", "left")
+    out = rows.groupBy(*PERIOD, "client_api_id", "client_name", *who).agg(
+        F.count_distinct("filing_uuid").alias("n_filings"), F.count_distinct("activity_id").alias("n_activities"), F.count_distinct("registrant_api_id").alias("n_registrants"),
+        F.sum("__covered").alias("n_covered_positions"), F.bool_or("__new").alias("ever_marked_new"),
     )
     return _ordered(out)
 
@@ -279,11 +303,14 @@ def agency_issue(agencies: DataFrame, activities: DataFrame, filed: DataFrame) -
 
 
 def contribution_rollup(reports: DataFrame, items: DataFrame) -> DataFrame:
-    """Items by report period and registrant; the flag of reports without contributions is summed over joined rows."""
-    rows = reports.select("filing_uuid", *PERIOD, "registrant_api_id", "registrant_name", "no_contributions").join(items.select("filing_uuid", "amount"), "filing_uuid", "left")
-    out = rows.groupBy(*PERIOD, "registrant_api_id", "registrant_name").agg(
-        F.count_distinct("filing_uuid").alias("n_reports"), F.count("amount").alias("n_items"), N.money_sum(F.col("amount")).alias("total_amount"),
-        F.count_if("no_contributions").alias("n_no_contributions"),
+    """Items by report period, registrant and lobbyist; the flag of reports without contributions is summed over joined rows."""
+    keys = [*PERIOD, "registrant_api_id", "registrant_name", "lobbyist_api_id", "lobbyist_name"]
+    per = items.groupBy("filing_uuid").agg(F.count(F.lit(1)).alias("__rows"), F.count("amount").alias("__items"), N.total("amount").alias("__amount"))
+    rows = reports.select("filing_uuid", *keys, "no_contributions").join(per, "filing_uuid", "left")
+    out = rows.groupBy(*keys).agg(
+        F.count_distinct("filing_uuid").alias("n_filings"), F.coalesce(F.sum("__items"), F.lit(0)).alias("n_items"),
+        F.coalesce(F.sum("__amount").cast("double"), F.lit(0.0)).alias("contribution_amount"),
+        F.sum(F.when(F.col("no_contributions"), F.coalesce("__rows", F.lit(1))).otherwise(0)).alias("filings_marked_no_contributions"),
     )
     return _ordered(out)
 
@@ -340,9 +367,10 @@ def match_entities(ents: DataFrame, alias: DataFrame) -> DataFrame:
     names = ents.select(F.col("entity_name_norm").alias("n"), F.col("entity_name_core").alias("c")).distinct()
     short = alias.where("contains_ok").withColumn("probe", F.explode(F.array_distinct(F.array(F.substring("alias_norm", 1, 6), F.substring("alias_core", 1, 6)))))
     short = short.where("probe != ''")
-    sizes = F.sequence(F.lit(1), F.least(F.lit(6), F.length("n")))
-    grams = F.flatten(F.transform(sizes, lambda k: F.transform(F.sequence(F.lit(1), F.length("n") - k + 1), lambda i: F.substr(F.col("n"), i, k))))
-    probes = names.where("n != ''").withColumn("probe", F.explode(F.array_distinct(grams)))
+    sizes = sorted(r.k for r in short.select(F.length("probe").alias("k")).distinct().collect())  # six at most
+    cut = lambda k: F.when(F.length("n") >= k, F.transform(F.sequence(F.lit(1), F.length("n") - k + 1), lambda i: F.substr(F.col("n"), i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    grams = F.array_distinct(F.concat(F.array().cast("array<string>"), *[cut(k) for k in sizes]))
+    probes = names.where("n != ''").withColumn("probe", F.explode(grams)).join(short.select("probe").distinct(), "probe", "left_semi")
     in_name, in_core = F.col("n").contains(F.col("alias_norm")), (F.col("alias_core") != "") & F.col("c").contains(F.col("alias_core"))
     inside = probes.join(short, "probe").where(in_name | in_core).withColumn("match_score", F.when(in_name, 86).otherwise(82)).drop("probe").dropDuplicates()
     part = e.join(inside, (F.col("entity_name_norm") == F.col("n")) & (F.col("entity_name_core") == F.col("c"))).drop("n", "c")
@@ -359,9 +387,9 @@ def match_entities(ents: DataFrame, alias: DataFrame) -> DataFrame:
 
 
 def review_matches(matches: DataFrame) -> DataFrame:
-    """One row for each entity: the best match and all aliases in the order of their scores."""
+    """One row for each entity: the best match and all aliases in the order of their scores; a missing value gives way to the next."""
     order = F.struct((-F.col("match_score")).alias("s"), F.col("matched_alias").alias("a"), F.col("alias_source").alias("o"))
-    first = lambda c, name: F.min_by(F.col(c), order).alias(name)
+    first = lambda c, name: F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(name)
     out = matches.groupBy(*ENTITY).agg(
         F.max("match_score").alias("best_match_score"), first("match_confidence", "best_match_confidence"), first("match_type", "best_match_type"),
         first("matched_alias", "best_alias"), first("alias_source", "best_alias_source"), first("canonical_name", "canonical_name"), first("sector", "sector"),

@@ -19,7 +19,7 @@ def cycle_linkage(linkage: DataFrame, cycle: int) -> DataFrame:
 
 
 def candidate_races(
-    cycle: int, candidates: DataFrame, linkage: DataFrame, committees: DataFrame, tagged: DataFrame, spending: DataFrame, receipts: DataFrame
+    cycle: int, candidates: DataFrame, linkage: DataFrame, committees: DataFrame, spending: DataFrame, receipts: DataFrame
 ) -> DataFrame:
     """Linked committees, their receipts, and independent expenditures for each candidate of the cycle.
 
@@ -35,13 +35,11 @@ def candidate_races(
         R.concat_distinct(F.col("cmte_id")).alias("linked_committee_ids"), R.concat_distinct(F.col("linked_cmte_nm")).alias("linked_committee_names"),
         R.concat_distinct(F.col("cmte_tp")).alias("linked_committee_types"),
     )
-    own = lambda c: F.when(F.col("is_tech_employer"), F.col(c))
-    per_cmte = R.drop_null_keys(tagged, ["cmte_id"]).groupBy("cmte_id").agg(
-        N.money_sum(F.col("net_amt")).alias("total_itemized_receipts"), F.count_distinct("name").alias("total_itemized_donors"),
-        N.money_sum(own("net_amt")).alias("tech_itemized_receipts"), F.count_distinct(own("name")).alias("tech_itemized_donors"),
-        F.count_if("is_tech_employer").alias("tech_itemized_contributions"), F.collect_set(own("tech_canonical_name")).alias("tags"),
+    own = receipts.select(
+        "cmte_id", F.col("total_receipts").alias("total_itemized_receipts"), F.col("total_donors").alias("total_itemized_donors"), F.col("tech_receipts").alias("tech_itemized_receipts"),
+        F.col("tech_donors").alias("tech_itemized_donors"), F.col("tech_contributions").alias("tech_itemized_contributions"), F.split("tech_companies", "; ").alias("tags"),
     )
-    finance = links.select("cand_id", "cmte_id").join(per_cmte, "cmte_id", "left").groupBy("cand_id").agg(
+    finance = links.select("cand_id", "cmte_id").join(own, "cmte_id", "left").groupBy("cand_id").agg(
         N.money_sum(F.col("total_itemized_receipts")).alias("total_itemized_receipts"), F.sum("total_itemized_donors").alias("total_itemized_donors"),
         N.money_sum(F.col("tech_itemized_receipts")).alias("tech_itemized_receipts"), F.sum("tech_itemized_donors").alias("tech_itemized_donors"),
         F.sum("tech_itemized_contributions").alias("tech_itemized_contributions"), R.concat_distinct_parts(F.col("tags")).alias("tech_company_tags"),
@@ -76,63 +74,73 @@ def in_race_order(races: DataFrame) -> DataFrame:
     )
 
 
-def _metrics() -> list[Column]:
-    major, d, r = F.col("is_major_party"), F.col("party_dr") == "D", F.col("party_dr") == "R"
-    money = lambda c, cond=None: N.money_sum(F.col(c) if cond is None else F.when(cond, F.col(c)))
+TOP = {"cand_name": "top_candidate_name", "party_dr": "top_candidate_party", "tech_itemized_receipts": "top_candidate_tech_itemized_receipts"}
+
+
+def _metrics(donors: bool) -> list[Column]:
+    side = lambda p: N.money_sum(F.when(F.col("party_dr") == p, F.col("tech_itemized_receipts")))
     return [
-        F.count(F.lit(1)).alias("n_candidates"), F.count_if(major).alias("n_major_party_candidates"), F.count_if("is_display_candidate").alias("n_display_candidates"),
-        money("total_itemized_receipts").alias("total_itemized_receipts"), money("tech_itemized_receipts").alias("tech_itemized_receipts"),
-        money("tech_itemized_receipts", d).alias("tech_receipts_dem"), money("tech_itemized_receipts", r).alias("tech_receipts_rep"),
-        money("ie_support_total").alias("ie_support_total"), money("ie_oppose_total").alias("ie_oppose_total"),
-        money("tech_funded_ie_support_total").alias("tech_funded_ie_support_total"),
+        F.count(F.lit(1)).alias("candidate_count"), F.count_if("is_major_party").alias("major_party_candidate_count"), *[N.money_sum(F.col(c)).alias(c) for c in RECEIPTS + IE],
+        side("D").alias("dem_tech_itemized_receipts"), side("R").alias("rep_tech_itemized_receipts"), *([F.sum("tech_itemized_donors").alias("tech_itemized_donors")] if donors else []),
     ]
 
 
-def _lean(df: DataFrame) -> DataFrame:
-    d, r = F.col("tech_receipts_dem"), F.col("tech_receipts_rep")
+def _finish(df: DataFrame) -> DataFrame:
+    d, r = F.col("dem_tech_itemized_receipts"), F.col("rep_tech_itemized_receipts")
+    df = df.withColumn("ie_net_support", F.col(IE[0]) - F.col(IE[1])).withColumn("tech_funded_ie_net_support", F.col(IE[2]) - F.col(IE[3]))
     return df.withColumn("pct_dem", N.pct(d, d + r)).withColumn("pct_rep", N.pct(r, d + r)).withColumn("party_label", N.summary_party(d, r))
 
 
-def _best(races: DataFrame, keys: list[str], prefix: str, cond: Column | None = None) -> DataFrame:
-    """The leading display candidate: tech receipts, support, linked committees, then name and id."""
-    rows = races.where("is_display_candidate") if cond is None else races.where(F.col("is_display_candidate") & cond)
-    order = F.struct(-F.col("tech_itemized_receipts"), -F.col("ie_support_total"), -F.col("linked_committee_count"), F.col("cand_name"), F.col("cand_id"))
-    best = rows.groupBy(*keys).agg(F.min_by(F.struct("cand_id", "cand_name", "tech_itemized_receipts"), order).alias("b"))
-    return best.select(*keys, F.col("b.cand_id").alias(f"{prefix}_cand_id"), F.col("b.cand_name").alias(f"{prefix}_cand_name"), F.col("b.tech_itemized_receipts").alias(f"{prefix}_tech_receipts"))
-
+def _leaders(sides: bool) -> list[Column]:
+    """Aggregates over candidates: the leading display candidate by tech receipts, support, linked committees, name and id;
+    with ``sides`` also the leading D and R, and the names of all others."""
+    order = F.struct((-F.col("tech_itemized_receipts")).alias("a"), (-F.col("ie_support_total")).alias("b"), (-F.col("linked_committee_count")).alias("c"), "cand_name", "cand_id")
+    shown, party = F.col("is_display_candidate"), F.col("party_dr")
+    best = lambda c, cond: F.min_by(F.col(c), F.when(cond, order))
+    out = [best(c, shown).alias(n) for c, n in TOP.items()]
+    if sides:
+        out += [best("cand_name", shown & (party == p)).alias(n) for p, n in (("D", "dem_candidate_name"), ("R", "rep_candidate_name"))]
+        out.append(R.concat_distinct(F.when(shown & party.isNull(), F.col("cand_name"))).alias("other_candidate_names"))
+    return out
 
-def _with_best(base: DataFrame, rows: DataFrame, keys: list[str], all_kinds: bool) -> DataFrame:
-    kinds: list[tuple[str, Column | None]] = [("top", None)]
-    if all_kinds:
-        party = F.col("party_dr")
-        kinds += [("dem", party == "D"), ("rep", party == "R"), ("other", party.isNull())]
-    for prefix, cond in kinds:
-        base = base.join(_best(rows, keys, prefix, cond), keys, "left")
-    return base
 
-
-def _house(races: DataFrame) -> DataFrame:
-    rows = races.withColumn("district", F.when(F.col("cand_office") == "H", T.house_district(F.col("cand_office_district"))).otherwise(F.lit("")))
-    return rows.where((F.col("cand_office") != "H") | T.valid_house_district(F.col("cand_office_st"), F.col("district")))
+def _placed(races: DataFrame) -> DataFrame:
+    """Candidates with clean state and district codes; House candidates of districts that do not exist go."""
+    rows = races.withColumn("state_code", T.clean_code(F.col("cand_office_st"))).where("state_code != ''")
+    rows = rows.withColumn("district_code", T.house_district(F.col("cand_office_district")))
+    return rows.where((F.col("cand_office") != "H") | T.valid_house_district(F.col("state_code"), F.col("district_code")))
 
 
 def state_summary(races: DataFrame) -> DataFrame:
-    """House and Senate candidates by state; invalid districts, blank and US codes are left out."""
-    rows = _house(races.where(F.col("cand_office").isin("H", "S") & ~F.col("cand_office_st").isin("", "US")))
-    major_house = F.col("is_major_party") & (F.col("cand_office") == "H")
-    base = rows.groupBy("cand_office_st").agg(
-        *_metrics(), F.count_if(F.col("cand_office") == "H").alias("n_house_candidates"), F.count_if(F.col("cand_office") == "S").alias("n_senate_candidates"),
-        F.count_distinct(F.when(major_house, F.col("district"))).alias("n_house_districts"),
+    """House and Senate candidates by state; blank and US codes are left out."""
+    rows = _placed(races).where(F.col("cand_office").isin("H", "S") & (F.col("state_code") != "US"))
+    house, senate = F.col("cand_office") == "H", F.col("cand_office") == "S"
+    out = rows.groupBy("state_code").agg(
+        *_metrics(False), F.count_if(house).alias("house_candidate_count"), F.count_if(senate).alias("senate_candidate_count"),
+        F.size(F.collect_set(F.when(house, F.col("district_code")))).cast("long").alias("house_district_count"),
+        F.size(F.collect_set(F.when(house & F.col("is_major_party"), F.col("district_code")))).cast("long").alias("major_party_house_district_count"),
+        F.bool_or(senate).cast("long").alias("has_senate_race"), *_leaders(False),
     )
-    return _with_best(_lean(base), rows, ["cand_office_st"], False)
+    return _finish(out)
 
 
 def house_district_summary(races: DataFrame) -> DataFrame:
-    rows = _house(races.where(F.col("cand_office") == "H"))
-    base = rows.groupBy("cand_office_st", "district").agg(*_metrics()).withColumn("district_order", T.district_order(F.col("district")))
-    return _with_best(_lean(base), rows, ["cand_office_st", "district"], True)
+    rows = _placed(races.where(F.col("cand_office") == "H"))
+    out = rows.groupBy("state_code", "district_code").agg(*_metrics(True), *_leaders(True))
+    return _finish(out.withColumn("district_sort", T.district_order(F.col("district_code")).cast("long")).withColumn("district_label", F.concat("state_code", F.lit("-"), "district_code")))
 
 
 def senate_summary(races: DataFrame) -> DataFrame:
-    rows = races.where((F.col("cand_office") == "S") & ~F.col("cand_office_st").isin("", "US"))
-    return _with_best(_lean(rows.groupBy("cand_office_st").agg(*_metrics())), rows, ["cand_office_st"], True)
+    return _finish(_placed(races.where(F.col("cand_office") == "S")).groupBy("state_code").agg(*_metrics(True), *_leaders(True)))
+
+
+def in_state_order(states: DataFrame) -> DataFrame:
+    return states.orderBy(F.desc("tech_itemized_receipts"), F.desc("house_district_count"), F.asc("state_code"))
+
+
+def in_district_order(districts: DataFrame) -> DataFrame:
+    return districts.orderBy("state_code", "district_sort", F.desc("tech_itemized_receipts"), "district_code")
+
+
+def in_senate_order(states: DataFrame) -> DataFrame:
+    return states.orderBy(F.desc("tech_itemized_receipts"), F.asc("state_code"))
