@@ -18,12 +18,35 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Python workers get batches bounded by rows and by bytes, for the sake of long texts.
+
+    Spark takes these from the session, so they hold there; what the caller has set stays.
+    """
+    own = spark.conf.getAll
+    for key, value in BATCH.items():
+        if key not in own:
+            spark.conf.set(key, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table; Python workers then get it in batches small enough for long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with so many underscores before it that no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only where ``spark.checkpoint.dir`` is unset, as in tests."""
     where = spark.conf.get("spark.checkpoint.dir", None)

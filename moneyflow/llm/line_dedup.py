@@ -1,48 +1,95 @@
 """Removes passages of lines that repeat anywhere in the corpus, by content-defined chunks of lines.
 
-Every line is hashed; a rolling hash over two line hashes marks the lines at which chunks begin and end, so
-that an insertion elsewhere in a document does not move them. A chunk runs from one marked line to the
-next, both included, and so depends on nothing but its own lines. Chunks come in sizes given by
-``divisors``: with divisor d one line in d is marked. Divisor 1, where every two neighbouring lines are a
-chunk, is needed for right results: a passage of three or four lines often holds less than two marks of
-any larger divisor. A single line of ``min_words`` words or more is a chunk too.
-
-A chunk whose digest occurs again is compared byte for byte with its first occurrence in the order of
-(doc_id, line). Lines of equal, later occurrences are covered; a run of covered lines is removed if it has
-``min_words`` words or more. The first occurrence stays.
+A rolling hash over two line hashes chooses the boundaries. In every stretch of ``min_words`` words the place with
+the least rolling hash is one, so boundaries depend on nothing but the lines around them, an insertion elsewhere does
+not move them, and a passage of ``min_words`` words or more holds a boundary that all its copies have. The chunk of a
+boundary is the two lines that meet there. A single line of ``min_words`` words or more is a chunk, too: it is no
+multi-line passage, but no less a repeated one.
+
+Chunks that occur again are seeds, from which repeated runs grow line by line, both ways: a line belongs to the run
+if it and its neighbour stand together in an earlier place, too, where also a seed is near. These pairs of lines are
+compared byte for byte with their first occurrence in the order of (doc_id, line). Runs of ``min_words`` words or
+more are removed; the first occurrence of every pair stays. Growth goes ``min_words`` words beyond a seed: farther
+off, a repeated passage has another seed.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from moneyflow.llm.common import stash
+from moneyflow.llm.common import bounded_batches, stash, unused
 
 MULTIPLIER = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 
 
-def line_chunks(text: str, divisors: tuple[int, ...], min_words: int) -> list[tuple[int, int, int]]:
+def words_in(line: str) -> int:
+    return len(line.split())
+
+
+def rolling_hashes(hashes: list[int], words: list[int]) -> list[int]:
+    """For each line the hash of the line before and itself; two lines without words are boundaries last of all."""
+    out = [MASK]
+    for k in range(1, len(hashes)):
+        x = (hashes[k - 1] * MULTIPLIER + hashes[k]) & MASK
+        out.append((x ^ x >> 29) * 0xBF58476D1CE4E5B9 & MASK if words[k - 1] or words[k] else MASK)
+    return out
+
+
+def boundaries(rolled: list[int], words: list[int], min_words: int) -> list[int]:
+    """The places k, between lines k - 1 and k, with the least rolling hash in some stretch of ``min_words`` words.
+
+    A stretch begins at any line and ends with the line that brings it to so many words, and has two lines at least.
+    """
+    n, found, queue = len(words), [], deque()  # queue: places of the stretch by rising hash
+    end, total = 0, 0
+    for a in range(n):
+        while end < n and (total < min_words or end < a + 2):
+            while queue and rolled[queue[-1]] >= rolled[end]:
+                queue.pop()
+            queue.append(end)
+            total, end = total + words[end], end + 1
+        if total < min_words or end < a + 2:
+            break
+        while queue[0] <= a:
+            queue.popleft()
+        if not found or found[-1] < queue[0]:
+            found.append(queue[0])
+        total -= words[a]
+    return found
+
+
+def line_chunks(text: str, min_words: int) -> list[tuple[int, int, int]]:
     """(first line, lines, digest) of every chunk; digests are signed 64-bit numbers."""
     import xxhash
 
-    lines = [x.encode() for x in text.split("\n")]
+    lines = text.split("\n")
+    raw, words = [x.encode() for x in lines], [words_in(x) for x in lines]
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(x) for x in lines]
-    rolled = [(a * MULTIPLIER + b) & MASK for a, b in zip([0, *hashes], hashes, strict=False)]
-    spans = set()
-    for d in divisors:
-        marks = [i for i, r in enumerate(rolled) if (r >> 20) % d == 0]
-        spans.update(zip(marks, [j - i + 1 for i, j in zip(marks, marks[1:], strict=False)], strict=False))
-    spans.update((i, 1) for i, x in enumerate(lines) if len(x) >= 2 * min_words - 1 and len(x.split()) >= min_words)
-    out = []
-    for i, n in spans:
-        h = digest(b"\n".join(lines[i : i + n])) if n > 1 else hashes[i]
-        out.append((i, n, h - (1 << 64) if h >> 63 else h))
-    return out
+    hashes = [digest(x) for x in raw]
+    out = [(k - 1, 2, digest(raw[k - 1] + b"\n" + raw[k])) for k in boundaries(rolling_hashes(hashes, words), words, min_words)]
+    out += [(k, 1, hashes[k]) for k, w in enumerate(words) if w >= min_words]
+    return [(k, n, h - (1 << 64) if h >> 63 else h) for k, n, h in out]
+
+
+def grown(words: list[int], seeds: list[tuple[int, int]], min_words: int) -> list[tuple[int, int]]:
+    """(first line, lines) of all pairs of lines within ``min_words`` words of a seed, and of the seeds themselves."""
+    places, done = set(seeds), set()
+    for start, n in seeds:
+        for at, step in ((start + n - 1, 1), (start, -1)):
+            total = 0
+            while 0 <= at + step < len(words) and total < min_words and (at, step) not in done:
+                if total == 0:
+                    done.add((at, step))
+                places.add((min(at, at + step), 2))
+                at += step
+                total += words[at]
+    return sorted(places)
 
 
 def long_runs(lines: list[str], spans: list[tuple[int, int]], min_words: int) -> list[tuple[int, int]]:
@@ -55,84 +102,96 @@ def long_runs(lines: list[str], spans: list[tuple[int, int]], min_words: int) ->
         else:
             at = i + n
             out.append((i, at))
-    return [(a, b) for a, b in out if sum(len(x.split()) for x in lines[a:b]) >= min_words]
+    return [(a, b) for a, b in out if sum(map(words_in, lines[a:b])) >= min_words]
 
 
-def remove_repeats(
-    docs: DataFrame,
-    min_words: int = 50,
-    divisors: tuple[int, ...] = (4, 1),
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """The rows of ``docs`` with ``text_col`` cleaned, plus ``lines_removed`` (int) and ``words_removed`` (long).
+def repeated_spans(rows: DataFrame, min_words: int) -> DataFrame:
+    """(id, hash, text) to (id, hash, starts, sizes): pairs of lines, and long lines, that equal an earlier occurrence."""
 
-    Null and empty texts stay as they are. Null ids come first in the order. Rows that repeat an id with
-    another text are ordered by the text's hash; rows alike in id and text count as one and are treated
-    alike. An empty table gives an empty table. Columns that already have the names of the counts are replaced.
-    """
-    named = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__hash", F.xxhash64(F.col(text_col)))
-    rows = named.where(F.col(text_col).isNotNull()).select("__id", "__hash", F.col(text_col).alias("text"))
+    def frame(out: list[tuple], columns: list[str]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=columns).astype({"id": "Int64", "hash": "int64", "digest": "int64"})
+
+    def plain(name) -> int | None:
+        return None if name is None or name != name else int(name)
 
     def chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["id", "hash", "start", "n", "digest"]
         for b in batches:
             out: list[tuple] = []
-            for name, h, text in zip(b["__id"], b["__hash"], b["text"], strict=True):
-                name = None if name is None or name != name else int(name)
-                out += [(name, h, i, n, d) for i, n, d in line_chunks(text, divisors, min_words)]
-                if len(out) >= 100_000:
-                    yield _frame(out)
+            for name, h, text in zip(b["id"], b["hash"], b["text"], strict=True):
+                name = plain(name)
+                out += [(name, h, i, n, d) for i, n, d in line_chunks(text, min_words)]
+                if len(out) >= 50_000:
+                    yield frame(out, columns)
                     out = []
-            yield _frame(out)
-
-    def _frame(out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(out, columns=["id", "hash", "start", "n", "digest"]).astype({"id": "Int64", "hash": "int64", "digest": "int64"})
+            yield frame(out, columns)
 
     chunks = stash(rows.mapInPandas(chunk, "id long, hash long, start int, n int, digest long"), "chunks")
-    place = F.struct("id", "hash", "start")
-    firsts = chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first")).where("times > 1")
-    firsts = stash(firsts.select("digest", "first"), "firsts")
-    again = chunks.join(firsts, "digest").select("id", "hash", "start", "n", "digest", (place == F.col("first")).alias("is_first"))
-    listed = again.groupBy("id", "hash").agg(F.collect_list(F.struct("start", "n", "digest", "is_first")).alias("spans"))
+    again = stash(chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("digest"), "again")
+    seeds = chunks.join(again, "digest").groupBy(F.col("id").alias("__i"), F.col("hash").alias("__h")).agg(F.collect_set(F.struct("start", "n")).alias("s"))
+    seeds = seeds.select("__i", "__h", F.col("s.start").alias("start"), F.col("s.n").alias("n"))
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
 
-    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["id", "hash", "start", "n", "digest", "chunk"]
         for b in batches:
-            out: list[tuple] = []
-            for name, h, text, spans in zip(b["__id"], b["__hash"], b["text"], b["spans"], strict=True):
-                name, lines = None if name is None or name != name else int(name), text.split("\n")
-                runs = long_runs(lines, [(s["start"], s["n"]) for s in spans if not s["is_first"]], min_words)
-                for s in spans:
-                    i, n = s["start"], s["n"]
-                    if s["is_first"] or any(x <= i and i + n <= y for x, y in runs):
-                        out.append((name, h, i, n, s["digest"], s["is_first"], "\n".join(lines[i : i + n])))
-            d = pd.DataFrame(out, columns=["id", "hash", "start", "n", "digest", "is_first", "chunk"])
-            yield d.astype({"id": "Int64", "hash": "int64", "digest": "int64", "is_first": "bool"})
-
-    same = (F.col("__id").eqNullSafe(F.col("id"))) & (F.col("__hash") == F.col("hash"))
-    schema = "id long, hash long, start int, n int, digest long, is_first boolean, chunk string"
-    found = stash(rows.join(listed, same).select("__id", "__hash", "text", "spans").mapInPandas(texts, schema), "found")
-    heads = found.where("is_first").groupBy("digest").agg(F.min("chunk").alias("head"))
-    later = found.where("not is_first").join(stash(heads, "heads"), "digest").where("chunk = head")
-    gone = later.groupBy("id", "hash").agg(F.collect_set(F.struct("start", "n")).alias("__spans"))
-    gone = gone.select(F.col("id").alias("__gone_id"), F.col("hash").alias("__gone_hash"), "__spans")
+            out, size = [], 0
+            for name, h, text, starts, ns in zip(*(b[c] for c in ("id", "hash", "text", "start", "n")), strict=True):
+                name, lines = plain(name), text.split("\n")
+                for i, n in grown([words_in(x) for x in lines], list(zip(starts.tolist(), ns.tolist(), strict=True)), min_words):
+                    part = "\n".join(lines[i : i + n])
+                    d = xxhash.xxh64_intdigest(part.encode(), n)
+                    out.append((name, h, i, n, d - (1 << 64) if d >> 63 else d, part))
+                    size += len(part) + 100
+                    if size >= 1 << 22:
+                        yield frame(out, columns)
+                        out, size = [], 0
+            yield frame(out, columns)
+
+    same = F.col("id").eqNullSafe(F.col("__i")) & (F.col("hash") == F.col("__h"))
+    joined = rows.join(seeds, same).select("id", "hash", "text", "start", "n")
+    found = stash(joined.mapInPandas(pairs, "id long, hash long, start int, n int, digest long, chunk string"), "found")
+    place = F.struct("id", "hash", "start")
+    heads = found.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(place.alias("place"), "chunk")).alias("head")).where("times > 1")
+    heads = stash(heads.select("digest", "head.place", F.col("head.chunk").alias("first")), "heads")
+    later = found.join(heads, "digest").where((F.col("chunk") == F.col("first")) & (place != F.col("place")))
+    gone = later.groupBy("id", "hash").agg(F.collect_set(F.struct("start", "n")).alias("s"))
+    return gone.select("id", "hash", F.col("s.start").alias("starts"), F.col("s.n").alias("sizes"))
+
+
+def remove_repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with ``text_col`` cleaned, plus ``lines_removed`` (int) and ``words_removed`` (long).
+
+    Null and empty texts stay as they are. Null ids come first in the order. Rows that repeat an id with
+    another text are ordered by the text's hash; rows alike in id and text count as one and are treated
+    alike. An empty table gives an empty table. Columns that already have the names of the counts are replaced; other
+    columns may have any name.
+    """
+    bounded_batches(docs.sparkSession)
+    own_id, own_hash, starts, sizes = unused(docs, "id", "hash", "starts", "sizes")
+    named = docs.withColumn(own_id, F.col(id_col).cast("long")).withColumn(own_hash, F.xxhash64(F.col(text_col)))
+    rows = named.where(F.col(text_col).isNotNull()).select(F.col(own_id).alias("id"), F.col(own_hash).alias("hash"), F.col(text_col).alias("text"))
+    gone_id, gone_hash = unused(named, "gone_id", "gone_hash")
+    gone = repeated_spans(rows, min_words).toDF(gone_id, gone_hash, starts, sizes)
     schema = docs.select(*[c for c in docs.columns if c not in ("lines_removed", "words_removed")]).schema
     columns = schema.fieldNames()
 
     def clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             kept, n_lines, n_words = [], [], []
-            for text, spans in zip(b[text_col], b["__spans"], strict=True):
+            for text, at, n in zip(b[text_col], b[starts], b[sizes], strict=True):
                 runs = []
-                if spans is not None:
+                if at is not None:
                     lines = text.split("\n")
-                    runs = long_runs(lines, [(s["start"], s["n"]) for s in spans], min_words)
+                    runs = long_runs(lines, list(zip(at.tolist(), n.tolist(), strict=True)), min_words)
                 n_lines.append(sum(y - x for x, y in runs))
-                n_words.append(sum(len(line.split()) for x, y in runs for line in lines[x:y]))
+                n_words.append(sum(words_in(line) for x, y in runs for line in lines[x:y]))
                 for x, y in reversed(runs):
                     del lines[x:y]
                 kept.append("\n".join(lines) if runs else text)
-            yield b[columns].assign(**{text_col: pd.Series(kept, dtype=object, index=b.index)}, lines_removed=n_lines, words_removed=n_words)
+            yield b[columns].assign(**{text_col: pd.Series(kept, dtype=object, index=b.index)}, lines_removed=np.array(n_lines, dtype=np.int32), words_removed=np.array(n_words, dtype=np.int64))
 
-    joined = named.join(gone, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__hash") == F.col("__gone_hash")), "left")
+    joined = named.join(gone, F.col(own_id).eqNullSafe(F.col(gone_id)) & (F.col(own_hash) == F.col(gone_hash)), "left")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", lines_removed int, words_removed long"
-    return joined.select(*columns, "__spans").mapInPandas(clean, ddl)
+    return joined.select(*columns, starts, sizes).mapInPandas(clean, ddl)
