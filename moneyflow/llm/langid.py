@@ -87,7 +87,7 @@ def train_machine(yes: str, no: str, rows: list[tuple], sign: np.ndarray, epochs
         p = 1 / (1 + np.exp(-np.clip(slope * margin + shift, -30, 30)))
         slope -= 0.5 * scale * float(((p - y) * margin * scale).mean())
         shift -= 0.5 * float((p - y).mean())
-    return Machine(yes, no, w, max(slope, 1e-9), 0.0)
+    return Machine(yes, no, w, max(slope, 1e-9), shift)
 
 
 def train(rows: list[tuple], seed: int = SEED) -> LanguageModel:

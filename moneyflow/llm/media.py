@@ -10,8 +10,10 @@ offset 0 corrects the declared type; confirmed formats further in are embedded m
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -124,22 +126,47 @@ def _gzip(data: bytes, at: int) -> int:
     return min(place, len(data)) - len(inflater.unused_data) if inflater.eof else -1
 
 
-def _zip(data: bytes, at: int) -> int:
+class Value(bytes):
+    """A value that remembers where marks stand in it, so that many hits do not search the same bytes again."""
+
+    def places(self, mark: bytes) -> list[int]:
+        known = self.__dict__.setdefault("_places", {})
+        if mark not in known:
+            known[mark] = [m.start() for m in re.finditer(re.escape(mark), self)]
+        return known[mark]
+
+    def after(self, mark: bytes, at: int) -> int:
+        """The first place of the mark from ``at`` on, or -1."""
+        found = self.places(mark)
+        k = bisect_left(found, at)
+        return found[k] if k < len(found) else -1
+
+    def archives(self) -> dict[int, int]:
+        """Where ZIP archives begin and end by their end records, each of which says how far its directory and start lie before."""
+        if "_archives" not in self.__dict__:
+            self._archives = {}
+            for found in self.places(b"PK\x05\x06"):
+                if found + 22 <= len(self):
+                    size, offset, comment = struct.unpack_from("<IIH", self, found + 12)
+                    begin = found - size - offset
+                    if begin >= 0 and offset >= 30 and self[begin + offset : begin + offset + 4] == b"PK\x01\x02":
+                        self._archives.setdefault(begin, min(found + 22 + comment, len(self)))
+        return self._archives
+
+
+def _zip(data: Value, at: int) -> int:
     """End of a ZIP: the end record whose directory lies where it says, counted from the first local header."""
-    found = data.find(b"PK\x05\x06", at + 30)
-    while 0 <= found <= len(data) - 22:
-        size, offset, comment = struct.unpack_from("<IIH", data, found + 12)
-        if at + offset + size == found and data[at + offset : at + offset + 4] == b"PK\x01\x02":
-            return min(found + 22 + comment, len(data))
-        found = data.find(b"PK\x05\x06", found + 4)
-    return -1
+    return data.archives().get(at, -1)
 
 
-def _pdf(data: bytes, at: int) -> int:
-    """End of a PDF: the first end-of-file mark after a cross-reference pointer."""
-    pointer = data.find(b"startxref", at)
-    end = data.find(b"%%EOF", pointer) if pointer >= 0 and data[at + 5 : at + 6].isdigit() else -1
-    return end + 5 if end >= 0 else -1
+def _pdf(data: Value, at: int) -> int:
+    """End of a PDF: the last end-of-file mark after a cross-reference pointer and before the next PDF, so that files
+    that were updated or are linearized stay whole."""
+    pointer, other, marks = data.after(b"startxref", at), data.after(b"%PDF-", at + 5), data.places(b"%%EOF")
+    if pointer < 0 or not data[at + 5 : at + 6].isdigit():
+        return -1
+    k = bisect_left(marks, other if other >= 0 else len(data)) - 1
+    return marks[k] + 5 if k >= 0 and marks[k] > pointer else -1
 
 
 def _flac(data: bytes, at: int) -> int:
@@ -179,6 +206,7 @@ def sniff(data: bytes) -> list[tuple[str, int, int]]:
     What lies inside a confirmed format is searched too: containers embed other media. A format whose end
     is not past its start's hit is not reported twice.
     """
+    data = Value(data)
     text, out = data.decode("latin-1"), []
     for last, (size, kind, check) in _automaton().iter(text):
         at = last - size + 1

@@ -32,6 +32,8 @@ CHUNKS = re.compile(f" +[^ \n{SIGN}]*|[^ \n{SIGN}]+|\n|{SIGN}")
 STEP_CHARS, ARCS_KEPT = 1 << 18, 3_000_000
 #: Characters of the step table; chunks with others, and chunks over so many characters, take the plain loop.
 DENSE_CHARS, DENSE_LENGTH = 127, 60
+#: Longer chunks are sampled window by window, and nothing of them is kept.
+WINDOW = 1 << 12
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -212,8 +214,82 @@ class PieceSampler:
         for grown, values in ((self.up, up), (self.came, came), (self.token, token), (self.first_arc, first)):
             grown.extend(values)
 
+    def _reach(self, w: str, raw: bool, a: int, b: int, sums: list[float]) -> tuple[list[list[tuple]], list[float]]:
+        """One window of a long chunk: the arcs that end at a + 1 .. b, and the forward sums of the last places up to b.
+
+        ``sums`` are the forward sums of the places up to ``a`` from which an arc can reach beyond it, in proportion.
+        """
+        from_ = a + 1 - len(sums)
+        forward, found, get = sums + [0.0] * (b - a), [[] for _ in range(b - a)], self.prefixes.get
+        for i in range(from_, b):
+            here = forward[i - from_]
+            if here < 1e-150:
+                for j in range(i, min(b, i + self.longest) + 1):
+                    forward[j - from_] *= 1e150
+                    if j > a:
+                        found[j - a - 1] = [(x * 1e150, k, ids) for x, k, ids in found[j - a - 1]]
+                here = forward[i - from_]
+            j, known = i + 1, False
+            while j <= len(w) and not raw:
+                got = get(w[i:j])
+                if got is None:
+                    break
+                if got[0] >= 0:
+                    known |= j == i + 1
+                    if a < j <= b:
+                        forward[j - from_] += here * got[1]
+                        found[j - a - 1].append((here * got[1], i, (got[0],)))
+                j += 1
+            if not known and i >= a:
+                ids = tuple(self.byte_id[x] for x in w[i].encode())
+                x = here * self.byte_weight ** len(ids)
+                forward[i + 1 - from_] += x
+                found[i - a].append((x, i, ids))
+        last = forward[max(0, b + 1 - self.longest - from_) :]
+        top = max(last)
+        return found, [x / top for x in last]
+
+    def _sample_long(self, chunk: str, seed: np.uint64) -> np.ndarray:
+        """Ids of one long chunk: forward sums are kept at window ends only, and arcs of one window at a time."""
+        raw = chunk in (SIGN, "\n")
+        w = chunk if raw else chunk.replace(" ", SIGN)
+        ends, sums = list(range(0, len(w), WINDOW)), [[1.0]]
+        for a in ends[:-1]:
+            sums.append(self._reach(w, raw, a, a + WINDOW, sums[-1])[1])
+        at, t, out = len(w), 0, []
+        for a, before in zip(reversed(ends), reversed(sums), strict=True):
+            if at <= a:
+                continue
+            arcs = self._reach(w, raw, a, min(a + WINDOW, len(w)), before)[0]
+            steps = np.arange(t, t + at - a, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03) + seed
+            draws = ((_mix(steps) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)).tolist()
+            first = t
+            while at > a:
+                own = arcs[at - a - 1]
+                total, left = sum(x for x, _, _ in own), 0.0
+                pick = own[-1]
+                for arc in own:
+                    left += arc[0]
+                    if draws[t - first] * total < left:
+                        pick = arc
+                        break
+                out.append(pick[2])
+                at, t = pick[1], t + 1
+        return np.array([i for ids in reversed(out) for i in ids], dtype=np.int32)
+
     def _sample(self, chunks: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks, and the number of ids of each."""
+        long = [k for k, c in enumerate(chunks) if len(c) > WINDOW]
+        if long:
+            own = np.ones(len(chunks), dtype=bool)
+            own[long] = False
+            ids, n = self._sample([c for c, x in zip(chunks, own, strict=True) if x], seeds[own]) if own.any() else (np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64))
+            each, cuts = [None] * len(chunks), np.concatenate(([0], np.cumsum(n)))
+            for k, a, b in zip(np.flatnonzero(own).tolist(), cuts, cuts[1:], strict=False):
+                each[k] = ids[a:b]
+            for k in long:
+                each[k] = self._sample_long(chunks[k], seeds[k])
+            return np.concatenate(each), np.array([len(x) for x in each], dtype=np.int64)
         new = set(chunks).difference(self.ends)
         if new:
             self._learn(sorted(new))

@@ -66,7 +66,10 @@ def train(rows: list[tuple], dimensions: int = 16, epochs: int = 12, rate: float
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int = 6000, seed: int = SEED) -> QualityModel:
-    """Fit on about ``max_rows`` rows that are labelled and for which ``learn`` (over doc_id) holds."""
+    """Fit on about ``max_rows`` rows that are labelled and for which ``learn`` (over doc_id) holds.
+
+    Of several labels of a document the least counts.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & learn)
     total = known.count()

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from moneyflow.llm.common import stash
+from moneyflow.llm.common import bounded_batches, stash, unused
 from moneyflow.llm.graph import components
 from moneyflow.llm.jaccard import similar_links
 
@@ -189,7 +189,7 @@ def links(fps: DataFrame, budget: int = 4) -> DataFrame:
     """Distinct fingerprints (fp) to links (a, b) that connect exactly what the pairs within the budget connect."""
     found, todo, masks = None, fps.select("fp"), F.array(*[F.lit(_signed(m)) for m in block_masks(0, budget)])
     todo = todo.select("fp", F.explode(masks).alias("mask"))
-    for _ in range(8):
+    while True:  # every pass fixes more bits, and 13 free bits leave no over-full bucket
         out = stash(_bucket_pass(todo.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"), budget), "buckets")
         some = out.where("mask = 0").select("a", "b")
         found = some if found is None else found.unionAll(some)
@@ -209,8 +209,6 @@ def links(fps: DataFrame, budget: int = 4) -> DataFrame:
                 yield pd.DataFrame({"fp": np.repeat(b["a"].to_numpy(), n), "mask": np.array([m for x in new for m in x], dtype=np.int64)})
 
         todo = over.select("a", "mask").mapInPandas(finer, "fp long, mask long").distinct()
-    raise AssertionError("every pass fixes more bits, and few free bits leave no over-full bucket")
-
 
 def shingle_set(text: str, words: int) -> set:
     tokens = text.encode().lower().split()
@@ -231,6 +229,7 @@ def near_duplicates(
     words too. Rows that repeat an id and a text are one document: all have the same values. Null ids come
     after all others.
     """
+    bounded_batches(docs.sparkSession)
     all_fps = stash(fingerprints(docs, words, id_col, text_col), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     distinct = stash(all_fps.groupBy("fp").agg(F.min(place).alias("least")), "distinct")
@@ -248,6 +247,7 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     Texts link if their shingle sets have this Jaccard similarity or more, whatever their fingerprints, and groups
     are what links connect. Texts without words are alike. Null ids come after all others.
     """
+    bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"))
     roots = components(similar_links(rows.select("node", "text"), words, similarity))
@@ -257,6 +257,8 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     firsts = named.groupBy("root").agg(F.min("least").alias("first"))
     of_text = named.select("node", "root").join(firsts, "root").select("node", "first")
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.text_hash"))
-    gone = rows.select("doc_id", "node").join(of_text, "node").where(~stays).select(F.col("doc_id").alias("__id"), F.col("node").alias("__hash")).distinct()
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash"))
+    gone = rows.select("doc_id", "node").join(of_text, "node").where(~stays)
+    own_id, own_hash = unused(docs, "id", "hash")
+    gone = gone.select(F.col("doc_id").alias(own_id), F.col("node").alias(own_hash)).distinct()
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_hash))
     return docs.join(gone, same, "left_anti")

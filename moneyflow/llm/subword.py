@@ -13,6 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from moneyflow.llm.common import stash
+
 #: Text of one scoring step, in characters.
 STEP_CHARS = 1 << 20
 
@@ -79,7 +81,28 @@ def document_features(
     return at.astype(np.int32), dense[at].astype(np.float32)
 
 
-def feature_rows(docs: DataFrame, label: str, clean: Callable, sizes: tuple[int, ...], bits: int, pad: int = 0, repeats: bool = False) -> list[tuple]:
+#: Features of a sample that come to the driver at most, of eight bytes each.
+MAX_FEATURES = 1 << 24
+
+
+def bounded_sample(rows: DataFrame, max_features: int) -> list:
+    """Rows with ``at`` (the buckets as bytes), in the order of a hash of these, as long as they hold ``max_features``
+    in all. Rows that are alike in ``at`` go or stay together; the driver gets no more bytes than that."""
+    rows = stash(rows.withColumn("place", F.xxhash64("at")), "features")
+    sizes = sorted((r["place"], r["n"]) for r in rows.select("place", (F.length("at") / 4).cast("long").alias("n")).collect())  # two numbers a row
+    total, last = 0, None
+    for k, (place, n) in enumerate(sizes):
+        total += n
+        if total > max_features:
+            break
+        if k + 1 == len(sizes) or sizes[k + 1][0] != place:
+            last = place
+    return rows.where(F.col("place") <= last).drop("place").collect() if last is not None else []
+
+
+def feature_rows(
+    docs: DataFrame, label: str, clean: Callable, sizes: tuple[int, ...], bits: int, pad: int = 0, repeats: bool = False, max_features: int = MAX_FEATURES
+) -> list[tuple]:
     """(label, buckets, weights) of the rows of a bounded sample, made on the executors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,7 +111,7 @@ def feature_rows(docs: DataFrame, label: str, clean: Callable, sizes: tuple[int,
             yield pd.DataFrame({"label": b["label"], "at": [x.tobytes() for x, _ in got], "weight": [y.tobytes() for _, y in got]})
 
     out = docs.select(F.col(label).cast("string").alias("label"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = out.mapInPandas(run, "label string, at binary, weight binary").collect()
+    rows = bounded_sample(out.mapInPandas(run, "label string, at binary, weight binary"), max_features)
     found = [(r["label"], np.frombuffer(r["at"], dtype=np.int32), np.frombuffer(r["weight"], dtype=np.float32)) for r in rows]
     return sorted(found, key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))  # the same order whatever the partitions
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from moneyflow.llm.common import fold_of, kept
-from moneyflow.llm.subword import STEP_CHARS, K, code_points, mixed, sampled
+from moneyflow.llm.subword import MAX_FEATURES, bounded_sample, STEP_CHARS, K, code_points, mixed, sampled
 
 BITS, SEED, PREFIXES = 18, 5, (4, 5, 6, 7)
 SIGNS = re.compile(r"[\W\d_]+")
@@ -113,8 +113,11 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return ToxicityModel(weights, float(b))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_positive: int = 3000, max_unlabelled: int = 6000, seed: int = SEED) -> ToxicityModel:
-    """Fit on rows for which ``learn`` (over doc_id) holds; the prior is the share of toxic rows among labelled ones."""
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_positive: int = 3000, max_unlabelled: int = 6000, seed: int = SEED, max_features: int = MAX_FEATURES) -> ToxicityModel:
+    """Fit on rows for which ``learn`` (over doc_id) holds; the prior is the share of toxic rows among labelled ones.
+
+    A document with labels of both kinds is toxic.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learn)
     n, n_toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
@@ -128,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_positive: int = 3
         for b in batches:
             yield pd.DataFrame({"kind": b["kind"], "at": [text_features(t).tobytes() for t in b["text"]]})
 
-    rows = positive.unionAll(unlabelled).mapInPandas(run, "kind int, at binary").collect()
+    rows = [r for part, share in ((positive, 3), (unlabelled, 1)) for r in bounded_sample(part.mapInPandas(run, "kind int, at binary"), max_features * share // 4)]
     sets = sorted((r["kind"], bytes(r["at"])) for r in rows)
     own = lambda kind: [np.frombuffer(x, dtype=np.int32) for k, x in sets if k == kind]
     return train(own(1), own(0), n_toxic / max(n, 1))

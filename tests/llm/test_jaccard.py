@@ -56,6 +56,21 @@ def test_group_of_edited_copies(spark):
     assert stay(spark, texts) == kept(texts)
 
 
+def test_over_full_buckets_are_dealt_in_blocks(spark, monkeypatch):
+    """With groups of 16 texts at most: chains, near copies of the least text, and copies of others than it."""
+    monkeypatch.setattr(J, "GROUP_TEXTS", 16)
+    rng = random.Random(11)
+    base, texts = [f"w{k}" for k in range(200)], []
+    for _ in range(4):  # variants that are hardly alike, each with copies of its own
+        variant = edited(rng, base, 9).split()
+        texts += [edited(rng, variant, 2) for _ in range(25)]
+    chain = [f"c{k}" for k in range(100)]
+    for _ in range(25):
+        texts.append(" ".join(chain))
+        chain = edited(rng, chain, 1).split()
+    assert stay(spark, texts) == kept(texts) and len(kept(texts)) < len(texts) / 4
+
+
 def test_pairs_of_many_differing_bits(spark):
     rng = random.Random(3)
     texts = []

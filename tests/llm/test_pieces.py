@@ -72,6 +72,39 @@ def test_long_chunks_do_not_underflow():
     assert SAMPLER.decode(SAMPLER.encode(text, 1, 1)) == text
 
 
+def test_long_chunks_go_window_by_window(monkeypatch):
+    """Windows draw by the lattice's exact probabilities, and long texts without a space stay small in memory."""
+    import random
+    import tracemalloc
+    from collections import Counter
+
+    rng = random.Random(5)
+    chunk = "the" * 3
+    want = Counter()
+
+    def spread(end, p, ids):
+        if end == 0:
+            want[ids] += p
+            return
+        for q, start, own in SAMPLER.arcs(chunk)[end - 1]:
+            spread(start, p * q, own + ids)
+
+    spread(len(chunk), 1.0, ())
+    monkeypatch.setattr(pieces, "WINDOW", 4)
+    n = 4000
+    got = Counter(tuple(SAMPLER._sample_long(chunk, np.uint64(rng.getrandbits(64))).tolist()) for _ in range(n))
+    for ids, p in want.items():
+        assert abs(got[ids] / n - p) < 5 * (p * (1 - p) / n) ** 0.5 + 1e-3
+    monkeypatch.setattr(pieces, "WINDOW", 1 << 12)
+    text = "".join(rng.choice("abcdefgh漢字仮名𝛼0123") for _ in range(60_000))
+    assert SAMPLER.decode(SAMPLER.encode(text, 1, 1)) == text
+    assert (SAMPLER.encode(text, 1, 1) == SAMPLER.encode_all([text, "x"], [1, 2], 1)[0]).all()
+    tracemalloc.start()
+    SAMPLER.encode(text, 1, 1)
+    assert tracemalloc.get_traced_memory()[1] < 40e6
+    tracemalloc.stop()
+
+
 def test_query(spark):
     import zlib
 
