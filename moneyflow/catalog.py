@@ -69,6 +69,7 @@ MAKERS: dict[str, Callable[[Tables], DataFrame]] = {
     "by_donor": lambda t: classify.company_by_donor_party(t.giving, t.donor_class),
     "company_table": lambda t: summaries.company_table(t.companies, t.by_donor),
     "receipts": lambda t: staged(summaries.committee_receipts(t.giving, t.cm, t.classes), "receipts"),
+    "reports": lambda t: catalog_nested.nested_reports(t),
     "races": lambda t: staged(races.candidate_races(CYCLE, t.cn, t.ccl, t.cm, t.spending, t.receipts), "races"),
 }
 
@@ -594,3 +595,6 @@ def page_labels(spark, d):
 def row_filter(spark, d):
     c = tables(spark, d).table("customer").select("c_custkey", "c_name", "c_mktsegment")
     return c.where(T.row_contains(["c_name", "c_mktsegment"], "Auto"))
+
+
+from moneyflow import catalog_nested  # noqa: E402  registers its queries here

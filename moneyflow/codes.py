@@ -43,11 +43,28 @@ HOUSE_SEATS = {
 PERIOD_ORDER = {"first_quarter": 1, "second_quarter": 2, "mid_year": 2, "third_quarter": 3, "fourth_quarter": 4, "year_end": 4}
 PERIOD_LAST = 99
 
-# Legal forms at the end of a company's name. Those with spaces never equal one word; they are kept for parity
+# Legal forms at the end of a company's name
 NAME_SUFFIXES = [
-    "CO", "COMPANY", "CORP", "CORPORATION", "GROUP", "GROUPS", "HOLDING", "HOLDINGS", "INC", "INCORPORATED",
-    "L L C", "L L P", "L P", "LIMITED", "LLC", "LLP", "LP", "LTD", "P L C", "PLC",
+    "CO", "COMPANY", "CORP", "CORPORATION", "GROUP", "GROUPS", "HOLDING", "HOLDINGS", "INC", "INCORPORATED", "LIMITED", "LLC", "LLP", "LP", "LTD", "PLC",
 ]
 
-# Patterns known for false hits
-NOISY_PATTERNS = ["SQUARE", "PROTO", "TIDAL", "SLACK", r"\bZS\b", r"\bCURSOR\b"]
+# Names of states and territories
+STATE_NAMES = {
+    "AL": "Alabama", "AK": "Alaska", "AZ": "Arizona", "AR": "Arkansas", "CA": "California", "CO": "Colorado", "CT": "Connecticut", "DE": "Delaware",
+    "DC": "District of Columbia", "FL": "Florida", "GA": "Georgia", "HI": "Hawaii", "ID": "Idaho", "IL": "Illinois", "IN": "Indiana", "IA": "Iowa",
+    "KS": "Kansas", "KY": "Kentucky", "LA": "Louisiana", "ME": "Maine", "MD": "Maryland", "MA": "Massachusetts", "MI": "Michigan", "MN": "Minnesota",
+    "MS": "Mississippi", "MO": "Missouri", "MT": "Montana", "NE": "Nebraska", "NV": "Nevada", "NH": "New Hampshire", "NJ": "New Jersey", "NM": "New Mexico",
+    "NY": "New York", "NC": "North Carolina", "ND": "North Dakota", "OH": "Ohio", "OK": "Oklahoma", "OR": "Oregon", "PA": "Pennsylvania", "RI": "Rhode Island",
+    "SC": "South Carolina", "SD": "South Dakota", "TN": "Tennessee", "TX": "Texas", "UT": "Utah", "VT": "Vermont", "VA": "Virginia", "WA": "Washington",
+    "WV": "West Virginia", "WI": "Wisconsin", "WY": "Wyoming",
+    "AS": "American Samoa", "GU": "Guam", "MP": "Northern Mariana Islands", "PR": "Puerto Rico", "VI": "U.S. Virgin Islands",
+}
+
+# Column and row of each state on the tile map
+STATE_TILES = {
+    "AK": (0, 0), "ME": (11, 0), "VT": (10, 1), "NH": (11, 1), "WA": (1, 2), "ID": (2, 2), "MT": (3, 2), "ND": (4, 2), "MN": (5, 2), "WI": (6, 3), "MI": (7, 3),
+    "OH": (8, 2), "NY": (9, 2), "MA": (11, 2), "OR": (1, 3), "UT": (2, 3), "WY": (3, 3), "SD": (4, 3), "IA": (5, 3), "IL": (6, 4), "IN": (7, 4), "WV": (8, 3),
+    "PA": (9, 3), "CT": (10, 3), "RI": (11, 3), "CA": (1, 4), "NV": (2, 4), "CO": (3, 4), "NE": (4, 4), "MO": (5, 4), "TN": (6, 5), "KY": (7, 5), "NC": (8, 4),
+    "MD": (9, 4), "NJ": (10, 4), "AZ": (2, 5), "NM": (3, 5), "KS": (4, 5), "AR": (5, 5), "MS": (6, 6), "AL": (7, 6), "SC": (8, 5), "VA": (9, 5), "DE": (10, 5),
+    "DC": (11, 5), "HI": (1, 7), "OK": (4, 6), "LA": (5, 6), "TX": (4, 7), "FL": (8, 7), "GA": (8, 6),
+}

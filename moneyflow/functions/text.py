@@ -33,7 +33,7 @@ def normalize_name(c: Column) -> Column:
 
 def core_name(normal: Column) -> Column:
     """A normal name without the legal forms at its end."""
-    words = "|".join(x for x in codes.NAME_SUFFIXES if " " not in x)
+    words = "|".join(codes.NAME_SUFFIXES)
     return F.trim(F.regexp_replace(normal, rf"(?:(?:^| )(?:{words}))+$", ""))
 
 
@@ -90,6 +90,18 @@ def race_key(office: Column, state: Column, district: Column) -> Column:
     )
 
 
+def state_name(code: Column) -> Column:
+    """A state's name, or the code itself."""
+    names = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in codes.STATE_NAMES.items()))
+    own = F.upper(F.coalesce(code, F.lit("")))
+    return F.coalesce(F.try_element_at(names, own), own)
+
+
+def party_badge(label: Column) -> Column:
+    """The style class of a party label."""
+    return F.concat(F.lit("party-"), F.lower(F.coalesce(F.nullif(label, F.lit("")), F.lit("Unknown"))))
+
+
 def join_parts(*parts: Column) -> Column:
     """Non-empty parts with single spaces between."""
     return F.array_join(F.filter(F.array(*parts), lambda x: x.isNotNull() & (x != "")), " ")

@@ -22,7 +22,7 @@ def inlist(values: list[str]) -> str:
 
 
 SEATS = "(VALUES " + ", ".join(f"('{k}', {v})" for k, v in codes.HOUSE_SEATS.items()) + ") seats(st, n)"
-SUFFIXES = "|".join(x for x in codes.NAME_SUFFIXES if " " not in x)
+SUFFIXES = "|".join(codes.NAME_SUFFIXES)
 WEEK = "cast(date_trunc('week', {}) AS date) + 6"
 
 
@@ -303,3 +303,8 @@ SQL: dict[str, str] = {
     "page_labels": "SELECT c_custkey, concat(upper(c_mktsegment[1]), lower(c_mktsegment[2:])) AS label, CASE WHEN length(c_name) <= 12 THEN c_name ELSE concat(rtrim(substr(c_name, 1, 11)), '…') END AS short, lower(substr(c_mktsegment, 1, 1)) IN ('1', 'true', 't', 'yes', 'y') AS truthy FROM customer",
     "row_filter": "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE contains(lower(concat_ws(' ', c_name, c_mktsegment)), 'auto')",
 }
+
+
+from moneyflow import oracles_nested  # noqa: E402  needs what is above
+
+SQL |= oracles_nested.build(SQL)

@@ -5,8 +5,10 @@ from __future__ import annotations
 import html
 from pathlib import Path
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from moneyflow import codes
+from moneyflow.functions import text as T
 from moneyflow.operators import relational as R
 
 PAGE_ROWS = {"P": 6, "S": 12, "H": 18}
@@ -30,9 +32,25 @@ def page_candidates(races: DataFrame, office: str) -> DataFrame:
     return candidates_for_office(races, office).limit(PAGE_ROWS[office])
 
 
-def mapped(states: DataFrame, tiles: DataFrame) -> DataFrame:
-    """States with their place on the tile map; those without one are unmapped."""
-    return states.join(tiles, "cand_office_st", "left").withColumn("is_mapped", F.col("tile_x").isNotNull())
+def tiles(spark: SparkSession) -> DataFrame:
+    """(state_code, tile_x, tile_y): where the tile map has each state."""
+    return spark.createDataFrame([(k, x, y) for k, (x, y) in codes.STATE_TILES.items()], "state_code string, tile_x int, tile_y int")
+
+
+def mapped(states: DataFrame, places: DataFrame) -> DataFrame:
+    """States with their name and place on the tile map; those without a place are listed below it."""
+    out = states.join(places, "state_code", "left").withColumn("is_mapped", F.col("tile_x").isNotNull())
+    return out.withColumn("state_name", T.state_name(F.col("state_code")))
+
+
+def chart_points(series: DataFrame, value: str, width: float, height: float) -> DataFrame:
+    """A series with the place of each point on a chart of the given size: weeks in equal steps, values from the least (or 0) up."""
+    ends = series.agg(F.min("week_end").alias("__from"), F.max("week_end").alias("__to"), F.least(F.min(value), F.lit(0.0)).alias("__low"), F.greatest(F.max(value), F.lit(0.0)).alias("__high"))
+    span, days = F.nullif(F.col("__high") - F.col("__low"), F.lit(0.0)), F.nullif(F.datediff("__to", "__from"), F.lit(0))
+    out = series.join(ends, F.lit(True))  # one row of ends
+    x = F.coalesce(F.datediff("week_end", "__from") / days * width, F.lit(0.0))
+    y = F.coalesce(height - (F.col(value) - F.col("__low")) / span * height, F.lit(float(height)))
+    return out.select(*series.columns, x.alias("x"), y.alias("y"))
 
 
 def donor_shares(donors: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from moneyflow import codes
 from moneyflow.functions import numbers as N, text as T
 from moneyflow.operators import relational as R
 
@@ -20,7 +19,7 @@ def employer_stats(rows: DataFrame) -> DataFrame:
     return per.where(F.col("employer").isNotNull())
 
 
-def employer_candidates(rows: DataFrame, patterns: dict[str, list[str]], exact: dict[str, list[str]], noisy: list[str] = codes.NOISY_PATTERNS) -> DataFrame:
+def employer_candidates(rows: DataFrame, patterns: dict[str, list[str]], exact: dict[str, list[str]], noisy: list[str]) -> DataFrame:
     """Employers that a slug's patterns find (case-insensitive, on the raw string) or whose key is a slug's exact term.
 
     The patterns are columns of one projection over distinct employers: no join, no nested loop.

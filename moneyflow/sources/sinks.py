@@ -14,7 +14,9 @@ from pyspark.sql.types import DateType, DoubleType, TimestampNTZType, TimestampT
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """With a header; white space at the ends of texts stays."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**keep).option("header", True).option("escape", '"').csv(path)
 
 
 def with_columns(df: DataFrame, declared: list[str]) -> DataFrame:
