@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from moneyflow import codes
 from moneyflow.functions import text as T
 from moneyflow.operators import relational as R
+from moneyflow.sources.store import HadoopStore
 
 PAGE_ROWS = {"P": 6, "S": 12, "H": 18}
 
@@ -77,3 +78,36 @@ def html_table(rows: list[dict], columns: dict[str, str]) -> str:
 def write_page(path: str, title: str, body: str) -> None:
     Path(path).parent.mkdir(parents=True, exist_ok=True)
     Path(path).write_text(f"<!doctype html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body>{body}</body></html>")
+
+
+BUNDLE = {"metadata": "site_metadata.json", "homepage": "homepage_summary.json", "companies": "companies.json", "committees": "committees.json", "donors": "major_donors.json"}
+BUNDLE_TABLES = {
+    "candidate_race": "candidate_race_summary.csv", "candidate_state": "candidate_state_summary.csv", "candidate_house_district": "candidate_house_district_summary.csv",
+    "candidate_senate": "candidate_senate_summary.csv",
+}
+
+
+def load_bundle(spark: SparkSession, root: str, cycle: int) -> dict:
+    """A cycle's published files: documents as they are, tables as frames of text. A missing file raises."""
+    store, where = HadoopStore(spark), f"{root}/{cycle}"
+    out = {"cycle": cycle} | {k: store.read_json(f"{where}/{f}") for k, f in BUNDLE.items()}
+    return out | {k: spark.read.option("header", True).option("escape", '"').csv(f"{where}/{f}") for k, f in BUNDLE_TABLES.items()}
+
+
+#: What the published columns mean.
+GLOSSARY = {
+    "net_total": "Contributions less refunds.",
+    "gross_positive": "Sum of amounts above zero; positive refund rows are part of it.",
+    "tech_receipts": "Itemized receipts of a committee from donors with a tagged employer.",
+    "tech_pct": "Share of tagged donors in a committee's itemized receipts.",
+    "pct_dem": "Share of committees with a Democratic lean in what went to committees with a D or R lean.",
+    "pct_dem_by_donor": "The same share, by the lean of the donors in place of the committees.",
+    "pct_classified_recipients": "Share of the net total that went to committees with a D or R lean.",
+    "party_label": "D or R from 70 percent on, Mixed below, Unknown without classified money.",
+    "ie_support_total": "Independent expenditures for a candidate.",
+    "ie_oppose_total": "Independent expenditures against a candidate.",
+}
+
+
+def glossary_page() -> str:
+    return html_table([{"term": k, "meaning": v} for k, v in GLOSSARY.items()], {"term": "Column", "meaning": "Meaning"})
