@@ -72,7 +72,16 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stash_path = path
+    return out
+
+
+def discard(*stashed: DataFrame) -> None:
+    """Delete stashed tables that nothing reads any more: what was made of them must be written already."""
+    for df in stashed:
+        place = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stash_path)
+        place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 _KEPT: dict = {}

@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from moneyflow.llm.common import kept
+from moneyflow.llm.common import bounded_batches, kept, stash
 
 
 def normal(text: str) -> str:
@@ -138,19 +138,27 @@ class Matcher:
         return distance, a + end
 
 
-def item_blocks(benchmark: DataFrame, block_chars: int) -> list[list[tuple[int, str]]]:
-    """(item_id, normal text) of the items that are not empty, in blocks of about ``block_chars`` characters."""
-    blocks: list[list[tuple[int, str]]] = [[]]
-    size = 0
+def item_blocks(benchmark: DataFrame, block_chars: int) -> Iterator[tuple[list[tuple[int, str]], bool]]:
+    """(item_id, normal text) of the items that are not empty, in blocks of about ``block_chars`` characters, and whether
+    a block is the only one. The driver holds two blocks at most."""
+    block, size, before = [], 0, None
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull()).toLocalIterator():
         text = normal(r["text"])
-        if text:
-            if size + len(text) > block_chars and blocks[-1]:
-                blocks.append([])
-                size = 0
-            blocks[-1].append((r["item_id"], text))
-            size += len(text)
-    return [sorted(b, key=lambda x: (x[0] is None, x)) for b in blocks]
+        if not text:
+            continue
+        if block and size + len(text) > block_chars:
+            if before is not None:
+                yield before, False
+            before, block, size = block, [], 0
+        block.append((r["item_id"], text))
+        size += len(text)
+    if before is not None:
+        yield before, False
+    yield block, before is None
+
+
+def in_order(items: list[tuple[int, str]]) -> list[tuple[int, str]]:
+    return sorted(items, key=lambda x: (x[0] is None, x))
 
 
 RATE, MIN_CHARS, BLOCK_CHARS = 0.08, 40, 4_000_000
@@ -169,9 +177,11 @@ def contaminations(
 
     ``stop`` is the match's end in the normal form of the document. Items shorter than ``min_chars`` in
     normal form match unedited and as whole words only; null and empty items match nothing. Items go in blocks, each
-    of which fits a worker; all documents meet all blocks. Null and empty texts match nothing; rows that
+    of which fits a worker and is broadcast; all documents meet all blocks, one pass each, whose matches are written
+    before the next block is fetched where there are several. Null and empty texts match nothing; rows that
     repeat a document or an item give rows for each.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
 
     def against(items: list[tuple[int, str]]) -> DataFrame:
@@ -186,20 +196,26 @@ def contaminations(
 
         return rows.mapInPandas(run, "doc_id long, item_id long, distance int, stop long")
 
-    return reduce(DataFrame.unionAll, [against(b) for b in item_blocks(benchmark, block_chars)])
+    parts = []
+    for items, only in item_blocks(benchmark, block_chars):
+        found = against(in_order(items))
+        parts.append(found if only else stash(found, "matches"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS, text_col: str = "text"
 ) -> DataFrame:
     """``docs`` without the documents that hold an item; rows are filtered in place, nothing is shuffled."""
-    for items in item_blocks(benchmark, block_chars):
-        shared, key = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
+    bounded_batches(docs.sparkSession)
+    for items, only in item_blocks(benchmark, block_chars):
+        shared, key = docs.sparkSession.sparkContext.broadcast(in_order(items)), uuid.uuid4().hex
 
         def run(batches: Iterator[pd.DataFrame], shared=shared, key=key) -> Iterator[pd.DataFrame]:
             matcher = kept(("items", key), lambda: Matcher(shared.value, rate, min_chars))
             for b in batches:
                 yield b.loc[np.array([not matcher.matches(t or "") for t in b[text_col]], dtype=bool)]
 
-        docs = docs.mapInPandas(run, docs.schema)
+        kept_rows = docs.mapInPandas(run, docs.schema)
+        docs = kept_rows if only else stash(kept_rows, "clean")
     return docs

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from moneyflow.llm.common import stash
+from moneyflow.llm.common import discard, stash
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -38,7 +38,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = stash(links.select("a", "b").where("a != b").distinct(), "links")
     before = mark(edges)
     while before[0]:
-        edges = stash(_small_star(_large_star(edges)), "links")
+        old, edges = edges, stash(_small_star(_large_star(edges)), "links")
+        discard(old)
         now = mark(edges)
         if now == before:
             break

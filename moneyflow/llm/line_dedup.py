@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from moneyflow.llm.common import bounded_batches, stash, unused
+from moneyflow.llm.common import bounded_batches, discard, stash, unused
 
 MULTIPLIER = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
@@ -152,6 +152,7 @@ def repeated_spans(rows: DataFrame, min_words: int) -> DataFrame:
     same = F.col("id").eqNullSafe(F.col("__i")) & (F.col("hash") == F.col("__h"))
     joined = rows.join(seeds, same).select("id", "hash", "text", "start", "n")
     found = stash(joined.mapInPandas(pairs, "id long, hash long, start int, n int, digest long, chunk string"), "found")
+    discard(chunks, again)
     place = F.struct("id", "hash", "start")
     heads = found.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(place.alias("place"), "chunk")).alias("head")).where("times > 1")
     heads = stash(heads.select("digest", "head.place", F.col("head.chunk").alias("first")), "heads")

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from moneyflow.llm.common import fold_of, kept
-from moneyflow.llm.subword import MAX_FEATURES, bounded_sample, STEP_CHARS, K, code_points, mixed, sampled
+from moneyflow.llm.subword import MAX_FEATURES, STEP_CHARS, K, bounded_sample, code_points, mixed, sampled
 
 BITS, SEED, PREFIXES = 18, 5, (4, 5, 6, 7)
 SIGNS = re.compile(r"[\W\d_]+")

@@ -37,6 +37,35 @@ def test_run_cache_equals_whole_texts(texts):
     assert n.tolist() == [len(w) for w in want] and got.tolist() == [x for w in want for x in w]
 
 
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    """A vocabulary with case, or cut at other places, or byte-level: the library's own ids, not those of lower-case runs."""
+    import json
+
+    made = json.loads(TOKENIZER.to_str())
+    variants = {"cased": made | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}, "cut": made | {"pre_tokenizer": made["pre_tokenizer"]["pretokenizers"][1]}}
+    paths = {"bytes": P.path("byte_bpe_50k.json")}
+    for name, text in variants.items():
+        paths[name] = str(tmp_path / name)
+        (tmp_path / name).write_text(json.dumps(text))
+    for path in paths.values():
+        encoder, own = S.RunCachingEncoder(path), Tokenizer.from_file(path)
+        assert not encoder.by_run
+        texts = ["Hello hello don,t", "", "A\tB  c's 42"]
+        got, n = encoder.encode(texts, 7)
+        want = [own.encode(t, add_special_tokens=False).ids + [7] for t in texts]
+        assert got.tolist() == [x for w in want for x in w] and n.tolist() == [len(w) for w in want]
+    assert SMALL.by_run
+
+
+def test_long_texts_are_cut_at_white_space(spark):
+    text = "".join(f"Word{k}'s {k}\n" for k in range(150_000)) + "x" * 700_000
+    parts = list(S.stretches(text, 1000))
+    assert "".join(x for x, _ in parts) == text and [last for _, last in parts] == [False] * (len(parts) - 1) + [True]
+    ids = TOKENIZER.encode(text, add_special_tokens=False).ids + [1]
+    r = S.stored_tokens(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH).first()
+    assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+
+
 def test_files(spark):
     rows = [(5, "five five", "x"), (3, None, "x"), (4, "", "x"), (None, "no id", "x"), (1, "Hello  World " * 3000, "x"), (5, "again", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
