@@ -60,14 +60,14 @@ def build(known: dict[str, str]) -> dict[str, str]:
     lean, states = known["entity_lean_union"], known["state_rollup"]
     return {
         "flat_filings": nested("""SELECT filing_uuid, filing_year, filing_period, filing_type, dt_posted, income, expenses, client AS client_api_id, source_id AS client_source_id, client_name, reg AS registrant_api_id, reg + 100 AS registrant_house_id, concat('REG ', reg) AS registrant_name,
- cast(NULL AS varchar) AS posted_by_name, coalesce(n, 0) AS n_activities, k % 3 AS n_foreign_entities, k % 2 AS n_affiliated_organizations, CASE WHEN k % 50 = 0 THEN 1 ELSE 0 END AS n_conviction_disclosures FROM nf LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM acts GROUP BY 1) ON k = l_orderkey"""),
-        "flat_activities": nested("SELECT concat(filing_uuid, ':activity:', i) AS activity_id, filing_uuid, i AS activity_index, concat('I', l_partkey % 7) AS general_issue_code, concat('Issue ', l_partkey % 7) AS general_issue_code_display, CASE WHEN l_linenumber % 2 = 0 THEN concat('On part ', l_partkey) END AS description, cast(NULL AS varchar) AS foreign_entity_issues, l_linenumber % 3 AS n_lobbyists, l_linenumber % 2 AS n_government_entities FROM acts"),
+ cast(NULL AS varchar) AS posted_by_name, coalesce(n, 0) AS n_activities, k % 3 AS n_foreign_entities, k % 2 AS n_affiliated_organizations, cast(k % 50 = 0 AS bigint) AS n_conviction_disclosures FROM nf LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM acts GROUP BY 1) ON k = l_orderkey"""),
+        "flat_activities": nested("SELECT concat(filing_uuid, ':activity:', i) AS activity_id, filing_uuid, i AS activity_index, concat('I', l_partkey % 7) AS general_issue_code, concat('Issue ', l_partkey % 7) AS general_issue_code_display, CASE WHEN l_linenumber % 2 = 0 THEN concat('On part ', l_partkey) END AS description, cast(NULL AS varchar) AS foreign_entity_issues, cast(l_linenumber % 3 AS bigint) AS n_lobbyists, cast(l_linenumber % 2 AS bigint) AS n_government_entities FROM acts"),
         "flat_lobbyists": nested("SELECT activity_id, filing_uuid, i AS activity_index, j AS activity_lobbyist_index, id AS lobbyist_api_id, concat('First ', id) AS lobbyist_first_name, last_name AS lobbyist_last_name, covered_position, is_new FROM people"),
-        "flat_agencies": nested("SELECT concat(filing_uuid, ':activity:', i) AS activity_id, filing_uuid, i AS activity_index, 1 AS activity_government_entity_index, l_partkey % 9 + 1 AS government_entity_id, concat('Agency ', l_partkey % 9 + 1) AS government_entity_name FROM acts WHERE l_linenumber % 2 = 1"),
+        "flat_agencies": nested("SELECT concat(filing_uuid, ':activity:', i) AS activity_id, filing_uuid, i AS activity_index, cast(1 AS bigint) AS activity_government_entity_index, l_partkey % 9 + 1 AS government_entity_id, concat('Agency ', l_partkey % 9 + 1) AS government_entity_name FROM acts WHERE l_linenumber % 2 = 1"),
         "flat_foreign": nested("SELECT filing_uuid, j AS foreign_entity_index, concat('Foreign ', k, '-', j) AS name, CASE WHEN j = 1 THEN '12.5' END AS contribution, 'XX' AS country, cast(NULL AS varchar) AS city FROM nf, unnest(range(1, k % 3 + 1)) u(j)"),
-        "flat_affiliated": nested("SELECT filing_uuid, 1 AS affiliated_organization_index, concat('Aff ', k) AS name, 1 AS extra FROM nf WHERE k % 2 = 1"),
-        "flat_convictions": nested("SELECT filing_uuid, 1 AS conviction_disclosure_index, '2020-01-01' AS date FROM nf WHERE k % 50 = 0"),
-        "flat_reports": nested("SELECT r.filing_uuid, filing_year, filing_period, no_contributions, pacs, coalesce(c, 0) AS n_contribution_items, reg AS registrant_api_id, concat('REG ', reg) AS registrant_name, n AS lobbyist_api_id, concat('First ', n, CASE WHEN n % 4 <> 0 THEN concat(' R ', n) ELSE '' END) AS lobbyist_name FROM reports r LEFT JOIN (SELECT filing_uuid, count(*) AS c FROM items GROUP BY 1) t ON r.filing_uuid = t.filing_uuid"),
+        "flat_affiliated": nested("SELECT filing_uuid, cast(1 AS bigint) AS affiliated_organization_index, concat('Aff ', k) AS name, cast(1 AS bigint) AS extra FROM nf WHERE k % 2 = 1"),
+        "flat_convictions": nested("SELECT filing_uuid, cast(1 AS bigint) AS conviction_disclosure_index, '2020-01-01' AS date FROM nf WHERE k % 50 = 0"),
+        "flat_reports": nested("SELECT r.filing_uuid, cast(filing_year AS int) AS filing_year, filing_period, no_contributions, pacs, coalesce(c, 0) AS n_contribution_items, reg AS registrant_api_id, concat('REG ', reg) AS registrant_name, n AS lobbyist_api_id, concat('First ', n, CASE WHEN n % 4 <> 0 THEN concat(' R ', n) ELSE '' END) AS lobbyist_name FROM reports r LEFT JOIN (SELECT filing_uuid, count(*) AS c FROM items GROUP BY 1) t ON r.filing_uuid = t.filing_uuid"),
         "flat_report_items": nested("SELECT concat(filing_uuid, ':item:', i) AS contribution_item_id, filing_uuid, i AS item_index, contribution_type, payee_name, amount FROM items"),
         "dim_clients": nested("SELECT * FROM clients"),
         "dim_registrants": nested("SELECT registrant_api_id, house_registrant_id, registrant_name, state FROM regs"),
@@ -91,7 +91,7 @@ def build(known: dict[str, str]) -> dict[str, str]:
         "curated_list": sql("SELECT employer, include, canonical_name, sector, notes, matched_searches FROM curated WHERE upper(trim(include)) = 'TRUE'"),
         "flat_table_csv": "SELECT cast(n_nationkey AS varchar) AS n_nationkey, n_name, cast(NULL AS varchar) AS note FROM nation",
         "json_records": "SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 <> 0 THEN round(s_suppkey / 7, 10) END AS x, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS s FROM supplier",
-        "entity_files": f"SELECT {slug('n_name')} AS slug, n_nationkey, n_regionkey FROM nation",
+        "entity_files": f"SELECT {slug('n_name')} AS slug, cast(n_nationkey AS bigint) AS n_nationkey, cast(n_regionkey AS bigint) AS n_regionkey FROM nation",
         "curated_migration": """SELECT employer, include, CASE WHEN trim(canonical_name) <> '' THEN trim(canonical_name) WHEN include = 'TRUE' THEN 'found by' ELSE '' END AS canonical_name, 'found by' AS matched_searches FROM (SELECT c_name AS employer,
  CASE c_custkey % 6 WHEN 0 THEN 'TRUE' WHEN 1 THEN 'FALSE' WHEN 3 THEN 'TRUE' WHEN 5 THEN 'FALSE' END AS include, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS canonical_name FROM customer WHERE c_custkey <= 300) WHERE include IS NOT NULL""",
         "alias_states": sql(f"SELECT canonical_name, state, count(*) AS n_rows, count(DISTINCT name) AS n_donors, {ms('transaction_amt')} AS total FROM itcont i JOIN (SELECT upper(trim(employer)) AS k, upper(sector) AS canonical_name FROM curated WHERE upper(sector) <> 'OTHER') a ON upper(trim(i.employer)) = k GROUP BY 1, 2"),
