@@ -11,9 +11,10 @@ Conventions that every operator of this subpackage keeps:
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -67,11 +68,35 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each execution within go at its end, not when the driver happens to collect its garbage.
+
+    For what is executed once only. The session has its own setting back afterwards.
+    """
+    own = spark.conf.getAll.get(REMOVE_SHUFFLES)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(REMOVE_SHUFFLES, own)
+
+
 def stash(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and fixes the rows' order in files."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage and fixes the rows' order in files.
+
+    The write leaves no shuffle files behind.
+    """
     spark = df.sparkSession
     path = shared_path(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_removed(spark):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stash_path = path
     return out

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from moneyflow.llm.common import discard, stash
+from moneyflow.llm.common import discard, shuffles_removed, stash
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -32,7 +32,8 @@ def components(links: DataFrame) -> DataFrame:
     """
 
     def mark(e: DataFrame) -> tuple:
-        r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+        with shuffles_removed(e.sparkSession):
+            r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         return r["n"], r["s"]
 
     edges = stash(links.select("a", "b").where("a != b").distinct(), "links")

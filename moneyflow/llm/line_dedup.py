@@ -129,7 +129,8 @@ def repeated_spans(rows: DataFrame, min_words: int) -> DataFrame:
     chunks = stash(rows.mapInPandas(chunk, "id long, hash long, start int, n int, digest long"), "chunks")
     again = stash(chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("digest"), "again")
     seeds = chunks.join(again, "digest").groupBy(F.col("id").alias("__i"), F.col("hash").alias("__h")).agg(F.collect_set(F.struct("start", "n")).alias("s"))
-    seeds = seeds.select("__i", "__h", F.col("s.start").alias("start"), F.col("s.n").alias("n"))
+    seeds = stash(seeds.select("__i", "__h", F.col("s.start").alias("start"), F.col("s.n").alias("n")), "seeds")
+    discard(chunks, again)
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -152,13 +153,15 @@ def repeated_spans(rows: DataFrame, min_words: int) -> DataFrame:
     same = F.col("id").eqNullSafe(F.col("__i")) & (F.col("hash") == F.col("__h"))
     joined = rows.join(seeds, same).select("id", "hash", "text", "start", "n")
     found = stash(joined.mapInPandas(pairs, "id long, hash long, start int, n int, digest long, chunk string"), "found")
-    discard(chunks, again)
+    discard(seeds)
     place = F.struct("id", "hash", "start")
     heads = found.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(place.alias("place"), "chunk")).alias("head")).where("times > 1")
     heads = stash(heads.select("digest", "head.place", F.col("head.chunk").alias("first")), "heads")
     later = found.join(heads, "digest").where((F.col("chunk") == F.col("first")) & (place != F.col("place")))
     gone = later.groupBy("id", "hash").agg(F.collect_set(F.struct("start", "n")).alias("s"))
-    return gone.select("id", "hash", F.col("s.start").alias("starts"), F.col("s.n").alias("sizes"))
+    gone = stash(gone.select("id", "hash", F.col("s.start").alias("starts"), F.col("s.n").alias("sizes")), "gone")
+    discard(found, heads)
+    return gone
 
 
 def remove_repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
