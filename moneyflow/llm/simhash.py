@@ -21,9 +21,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from moneyflow.llm.common import bounded_batches, stash, unused
+from moneyflow.llm.common import bounded_batches, discard, stash, unused
 from moneyflow.llm.graph import components
-from moneyflow.llm.jaccard import similar_links
+from moneyflow.llm.jaccard import similar_links, verified
 
 GROUP_LIMIT = 1 << 13
 CHUNK = 1 << 15
@@ -187,14 +187,17 @@ def _bucket_pass(rows: DataFrame, budget: int) -> DataFrame:
 
 def links(fps: DataFrame, budget: int = 4) -> DataFrame:
     """Distinct fingerprints (fp) to links (a, b) that connect exactly what the pairs within the budget connect."""
-    found, todo, masks = None, fps.select("fp"), F.array(*[F.lit(_signed(m)) for m in block_masks(0, budget)])
+    found, todo, passes, masks = None, fps.select("fp"), [], F.array(*[F.lit(_signed(m)) for m in block_masks(0, budget)])
     todo = todo.select("fp", F.explode(masks).alias("mask"))
     while True:  # every pass fixes more bits, and 13 free bits leave no over-full bucket
         out = stash(_bucket_pass(todo.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"), budget), "buckets")
+        passes.append(out)
         some = out.where("mask = 0").select("a", "b")
         found = some if found is None else found.unionAll(some)
         over = out.where("mask != 0")
         if not over.take(1):
+            found = stash(found, "trie")
+            discard(*passes)
             return found
 
         def finer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,24 +244,36 @@ def near_duplicates(
     return all_fps.join(of_fp, "fp").select("doc_id", "text_hash", "fp", F.col("first.doc_id").alias("component_id"), stays.alias("stays"))
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", budget: int = 4) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates: the one with the least (id, text hash).
 
-    Texts link if their shingle sets have this Jaccard similarity or more, whatever their fingerprints, and groups
-    are what links connect. Texts without words are alike. Null ids come after all others.
+    Texts link if their shingle sets have this Jaccard similarity or more, and groups are what links connect. Texts
+    without words are alike. Null ids come after all others. The trie join gives candidates, whose fingerprints differ
+    in ``budget`` bits or fewer; they are verified on all shingles. Fingerprints cannot bound the similarity, so the
+    links that remain between texts still apart come from an exact join, whatever their fingerprints.
     """
     bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"))
-    roots = components(similar_links(rows.select("node", "text"), words, similarity))
+    texts = docs.select(F.xxhash64(text).alias("node"), text.alias("text"))
+    rows = stash(fingerprints(docs, words, id_col, text_col).withColumnRenamed("text_hash", "node"), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col("node").alias("text_hash"))
-    least = stash(rows.groupBy("node").agg(F.min(place).alias("least")), "distinct")
+    least = stash(rows.groupBy("node").agg(F.min(place).alias("least"), F.min("fp").alias("fp")), "distinct")
+    heads = stash(least.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    within = links(heads, budget)
+    for end in ("a", "b"):
+        within = within.join(heads.toDF(end, "head"), end).drop(end).withColumnRenamed("head", f"{end}_")
+    equal = least.join(heads, "fp").where("node != head").select(F.col("head").alias("a_"), F.col("node").alias("b_"))
+    pairs = stash(within.unionByName(equal).toDF("a", "b").distinct(), "pairs")
+    near = verified(pairs, texts, words, similarity)
+    known = stash(components(near), "roots")
+    rest = similar_links(texts, words, similarity, known)
+    roots = components(near.unionAll(rest))
     named = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = named.groupBy("root").agg(F.min("least").alias("first"))
     of_text = named.select("node", "root").join(firsts, "root").select("node", "first")
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.text_hash"))
-    gone = rows.select("doc_id", "node").join(of_text, "node").where(~stays)
     own_id, own_hash = unused(docs, "id", "hash")
-    gone = gone.select(F.col("doc_id").alias(own_id), F.col("node").alias(own_hash)).distinct()
+    gone = stash(rows.join(of_text, "node").where(~stays).select(F.col("doc_id").alias(own_id), F.col("node").alias(own_hash)).distinct(), "gone")
+    discard(rows, least, heads, pairs, near, known)
     same = F.col(id_col).cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_hash))
     return docs.join(gone, same, "left_anti")

@@ -86,3 +86,28 @@ def test_equal_fingerprints_need_similarity(spark):
     texts = [" ".join([phrase] * 60 + [f"s0o{j}n{k}" for k in range(400)]) for j in range(2)]
     assert S.fingerprint(texts[0], 5) == S.fingerprint(texts[1], 5) and not alike(*texts)
     assert stay(spark, [*texts, texts[0].upper(), "", "  "]) == [0, 1, 3]
+
+
+def test_links_within_the_budget_come_from_the_trie_and_are_verified(spark, monkeypatch):
+    """With the exact join giving nothing, near copies within 4 bits still go, and unlike texts of one fingerprint stay."""
+    rng = random.Random(9)
+    base = [f"t{k}" for k in range(2000)]
+    texts = [" ".join(base)] + [edited(rng, base, 1) for _ in range(8)]
+    near = [j for j in range(9) if (S.fingerprint(texts[0], 5) ^ S.fingerprint(texts[j], 5)).bit_count() <= 4]
+    phrase = " ".join(f"f0x{k}" for k in range(11))
+    texts += [" ".join([phrase] * 60 + [f"s0o{j}n{k}" for k in range(400)]) for j in range(2)]
+    asked = []
+
+    def none(rows, words, similarity, roots):
+        asked.append({r.node: r.root for r in roots.collect()})
+        return spark.createDataFrame([], "a long, b long")
+
+    monkeypatch.setattr(S, "similar_links", none)
+    got = stay(spark, texts)
+    assert len(near) > 2 and not set(near[1:]) & set(got) and {9, 10} < set(got)
+    assert len(asked) == 1 and len(asked[0]) >= len(near)
+
+
+def test_forest_leaves_out_what_is_connected_already():
+    sets = [np.arange(10), np.arange(10), np.arange(1, 10)]
+    assert len(J.forest(sets, 0.8)) == 2 and len(J.forest(sets, 0.8, [5, 5, 7])) == 1 and not J.forest(sets, 0.8, [5, 5, 5])
