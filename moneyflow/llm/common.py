@@ -109,6 +109,33 @@ def discard(*stashed: DataFrame) -> None:
         place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+#: Bits of the table of hashes that ``split`` broadcasts, at most, and bits for each hash while there are fewer.
+MAX_BITS, BITS_A_HASH = 1 << 26, 32
+BITMAP = 1 << 15
+
+
+def split(rows: DataFrame, hashed: Column, hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that may have a value of ``hashed`` (long, evenly spread) among the ``hashes`` (one column, staged), and those that have none.
+
+    The first are all that have one and few others: a join with them gives what a join with all rows gives, and the
+    others are in no shuffle. A bit is set for each hash; the bits are broadcast, eight megabytes of them at most,
+    however many hashes there are: more only make the first part larger. Nulls are in the second.
+    """
+    with shuffles_removed(rows.sparkSession):
+        n, bits = hashes.count(), BITMAP
+    while bits < min(MAX_BITS, BITS_A_HASH * n):
+        bits *= 2
+    number, bitmap = unused(rows, "bitmap_number", "bitmap")
+    bit = F.pmod(F.col(hashes.columns[0]), F.lit(bits))
+    own = hashes.select((bit / BITMAP).cast("int").alias(number), (bit % BITMAP).alias("bit"))
+    bitmaps = own.groupBy(number).agg(F.bitmap_construct_agg("bit").alias(bitmap))
+    place = F.pmod(hashed, F.lit(bits))
+    byte = F.ascii(F.decode(F.substring(F.col(bitmap), (place % BITMAP / 8).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
+    known = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    marked = rows.join(F.broadcast(bitmaps), (place / BITMAP).cast("int") == F.col(number), "left")
+    return marked.where(known).drop(number, bitmap), marked.where(~known).drop(number, bitmap)
+
+
 _KEPT: dict = {}
 
 

@@ -8,24 +8,27 @@ multi-line passage, but no less a repeated one.
 
 Chunks that occur again are seeds, from which repeated runs grow line by line, both ways: a line belongs to the run
 if it and its neighbour stand together in an earlier place, too, where also a seed is near. These pairs of lines are
-compared byte for byte with their first occurrence in the order of (doc_id, line). Runs of ``min_words`` words or
-more are removed; the first occurrence of every pair stays. Growth goes ``min_words`` words beyond a seed: farther
-off, a repeated passage has another seed.
+compared with their first occurrence in the order of (doc_id, line), by 128 bits of BLAKE2 of each line: no two texts
+are known that have these in common. Runs of ``min_words`` words or more are removed; the first occurrence of every
+pair stays. Growth goes ``min_words`` words beyond a seed: farther off, a repeated passage has another seed.
 """
 
 from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from moneyflow.llm.common import bounded_batches, discard, stash, unused
+from moneyflow.llm.common import bounded_batches, discard, split, stash, unused
 
 MULTIPLIER = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
+#: Bytes of a line's digest.
+DIGEST = 16
 
 
 def words_in(line: str) -> int:
@@ -105,58 +108,68 @@ def long_runs(lines: list[str], spans: list[tuple[int, int]], min_words: int) ->
     return [(a, b) for a, b in out if sum(map(words_in, lines[a:b])) >= min_words]
 
 
+def line_digests(lines: list[str]) -> list[bytes]:
+    """128 cryptographic bits of each line: lines with equal digests are equal."""
+    return [blake2b(x.encode(), digest_size=DIGEST).digest() for x in lines]
+
+
 def repeated_spans(rows: DataFrame, min_words: int) -> DataFrame:
-    """(id, hash, text) to (id, hash, starts, sizes): pairs of lines, and long lines, that equal an earlier occurrence."""
+    """(id, hash, text) to (id, hash, starts, sizes): pairs of lines, and long lines, that equal an earlier occurrence.
+
+    Texts are read once and never shuffled; the steps after that read their outlines, which are the chunks and the
+    number of words and the digest of every line.
+    """
 
     def frame(out: list[tuple], columns: list[str]) -> pd.DataFrame:
-        return pd.DataFrame(out, columns=columns).astype({"id": "Int64", "hash": "int64", "digest": "int64"})
+        return pd.DataFrame(out, columns=columns).astype({"id": "Int64", "hash": "int64"})
 
     def plain(name) -> int | None:
         return None if name is None or name != name else int(name)
 
-    def chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["id", "hash", "start", "n", "digest"]
+    def outline(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["id", "hash", "chunks", "words", "lines"]
         for b in batches:
-            out: list[tuple] = []
+            out, size = [], 0
             for name, h, text in zip(b["id"], b["hash"], b["text"], strict=True):
-                name = plain(name)
-                out += [(name, h, i, n, d) for i, n, d in line_chunks(text, min_words)]
-                if len(out) >= 50_000:
+                if chunks := line_chunks(text, min_words):
+                    lines = text.split("\n")
+                    words = np.fromiter(map(words_in, lines), dtype=np.int32, count=len(lines))
+                    out.append((plain(name), h, [dict(zip(("start", "n", "digest"), c, strict=True)) for c in chunks], words, b"".join(line_digests(lines))))
+                    size += len(lines) * (DIGEST + 4) + len(chunks) * 100
+                if size >= 1 << 22:
                     yield frame(out, columns)
-                    out = []
+                    out, size = [], 0
             yield frame(out, columns)
 
-    chunks = stash(rows.mapInPandas(chunk, "id long, hash long, start int, n int, digest long"), "chunks")
+    outlines = stash(rows.mapInPandas(outline, "id long, hash long, chunks array<struct<start int, n int, digest long>>, words array<int>, lines binary"), "outlines")
+    chunks = outlines.select("id", "hash", F.inline("chunks"))
     again = stash(chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("digest"), "again")
-    seeds = chunks.join(again, "digest").groupBy(F.col("id").alias("__i"), F.col("hash").alias("__h")).agg(F.collect_set(F.struct("start", "n")).alias("s"))
-    seeds = seeds.select("__i", "__h", F.col("s.start").alias("start"), F.col("s.n").alias("n"))
+    often, _ = split(chunks, F.col("digest"), again)
+    seeds = often.join(again, "digest").groupBy(F.col("id").alias("__i"), F.col("hash").alias("__h")).agg(F.collect_set(F.struct("start", "n")).alias("s"))
+    seeds = stash(seeds.select("__i", "__h", F.col("s.start").alias("start"), F.col("s.n").alias("n")), "seeds")
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-
-        columns = ["id", "hash", "start", "n", "digest", "chunk"]
+        columns = ["id", "hash", "start", "n", "digest"]
         for b in batches:
-            out, size = [], 0
-            for name, h, text, starts, ns in zip(*(b[c] for c in ("id", "hash", "text", "start", "n")), strict=True):
-                name, lines = plain(name), text.split("\n")
-                for i, n in grown([words_in(x) for x in lines], list(zip(starts.tolist(), ns.tolist(), strict=True)), min_words):
-                    part = "\n".join(lines[i : i + n])
-                    d = xxhash.xxh64_intdigest(part.encode(), n)
-                    out.append((name, h, i, n, d - (1 << 64) if d >> 63 else d, part))
-                    size += len(part) + 100
-                    if size >= 1 << 22:
-                        yield frame(out, columns)
-                        out, size = [], 0
+            out: list[tuple] = []
+            for name, h, words, lines, starts, ns in zip(*(b[c] for c in ("id", "hash", "words", "lines", "start", "n")), strict=True):
+                name = plain(name)
+                for i, n in grown(words.tolist(), list(zip(starts.tolist(), ns.tolist(), strict=True)), min_words):
+                    out.append((name, h, i, n, blake2b(lines[DIGEST * i : DIGEST * (i + n)], digest_size=DIGEST).digest()))
+                if len(out) >= 50_000:
+                    yield frame(out, columns)
+                    out = []
             yield frame(out, columns)
 
     same = F.col("id").eqNullSafe(F.col("__i")) & (F.col("hash") == F.col("__h"))
-    joined = rows.join(seeds, same).select("id", "hash", "text", "start", "n")
-    found = stash(joined.mapInPandas(pairs, "id long, hash long, start int, n int, digest long, chunk string"), "found")
-    discard(chunks, again)
+    near, _ = split(outlines.select("id", "hash", "words", "lines"), F.col("hash"), seeds.select("__h"))
+    joined = near.join(seeds, same).select("id", "hash", "words", "lines", "start", "n")
+    found = stash(joined.mapInPandas(pairs, "id long, hash long, start int, n int, digest binary"), "found")
+    discard(outlines, again, seeds)
     place = F.struct("id", "hash", "start")
-    heads = found.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(place.alias("place"), "chunk")).alias("head")).where("times > 1")
-    heads = stash(heads.select("digest", "head.place", F.col("head.chunk").alias("first")), "heads")
-    later = found.join(heads, "digest").where((F.col("chunk") == F.col("first")) & (place != F.col("place")))
+    heads = found.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("place")).where("times > 1")
+    heads = stash(heads.select("digest", "place"), "heads")
+    later = found.join(heads, "digest").where(place != F.col("place"))
     gone = later.groupBy("id", "hash").agg(F.collect_set(F.struct("start", "n")).alias("s"))
     gone = stash(gone.select("id", "hash", F.col("s.start").alias("starts"), F.col("s.n").alias("sizes")), "gone")
     discard(found, heads)
@@ -195,6 +208,8 @@ def remove_repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
                 kept.append("\n".join(lines) if runs else text)
             yield b[columns].assign(**{text_col: pd.Series(kept, dtype=object, index=b.index)}, lines_removed=np.array(n_lines, dtype=np.int32), words_removed=np.array(n_words, dtype=np.int64))
 
-    joined = named.join(gone, F.col(own_id).eqNullSafe(F.col(gone_id)) & (F.col(own_hash) == F.col(gone_hash)), "left")
+    some, whole = split(named, F.col(own_hash), gone.select(gone_hash))
+    joined = some.join(gone, F.col(own_id).eqNullSafe(F.col(gone_id)) & (F.col(own_hash) == F.col(gone_hash)), "left")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", lines_removed int, words_removed long"
-    return joined.select(*columns, starts, sizes).mapInPandas(clean, ddl)
+    cleaned = joined.select(*columns, starts, sizes).mapInPandas(clean, ddl)
+    return cleaned.unionAll(whole.select(*columns, F.lit(0).alias("lines_removed"), F.lit(0).cast("long").alias("words_removed")))
