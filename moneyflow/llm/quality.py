@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from moneyflow.llm.common import fold_of, kept
-from moneyflow.llm.subword import WordScores, feature_rows, sampled
+from moneyflow.llm.subword import WordScores, feature_table, in_order, sampled
 
 SIZES, BITS, SEED = (2, 3), 16, 11
 SHAPE = {"pad": 5, "repeats": True}
@@ -68,14 +68,24 @@ def train(rows: list[tuple], dimensions: int = 16, epochs: int = 12, rate: float
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int = 6000, seed: int = SEED) -> QualityModel:
     """Fit on about ``max_rows`` rows that are labelled and for which ``learn`` (over doc_id) holds.
 
-    Of several labels of a document the least counts.
+    Of several labels of a document the least counts. One task of an executor trains; the driver gets the model only.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & learn)
     total = known.count()
     known = known.where(sampled(F.col("doc_id"), min(1.0, max_rows / max(total, 1)), seed)).groupBy("doc_id").agg(F.min("label").alias("label"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
-    return train(feature_rows(rows, "label", as_is, SIZES, BITS, **SHAPE), seed=seed)
+    sample = feature_table(rows, "label", as_is, SIZES, BITS, **SHAPE)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = train(in_order([x for b in batches for x in zip(b["label"], b["at"], b["weight"], strict=True)]), seed=seed)
+        yield pd.DataFrame({k: [v.tobytes()] for k, v in vars(model).items()})
+
+    models = sample.coalesce(1).mapInPandas(run, "vectors binary, output binary, bias binary").collect()
+    if not models:  # no partition
+        return train([], seed=seed)
+    vectors, output, bias = (np.frombuffer(x, dtype=np.float32) for x in models[0])
+    return QualityModel(vectors.reshape(1 << BITS, -1), output.reshape(-1, 2), bias)
 
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from moneyflow.llm.common import bounded_batches, discard, stash, unused
+from moneyflow.llm.common import bounded_batches, discard, split, stash, unused
 from moneyflow.llm.graph import components
 from moneyflow.llm.jaccard import similar_links, verified
 
@@ -276,4 +276,5 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     gone = stash(rows.join(of_text, "node").where(~stays).select(F.col("doc_id").alias(own_id), F.col("node").alias(own_hash)).distinct(), "gone")
     discard(rows, least, heads, pairs, near, known)
     same = F.col(id_col).cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_hash))
-    return docs.join(gone, same, "left_anti")
+    some, others = split(docs, F.xxhash64(text), gone.select(own_hash))
+    return some.join(gone, same, "left_anti").unionAll(others)

@@ -85,9 +85,9 @@ def document_features(
 MAX_FEATURES = 1 << 24
 
 
-def bounded_sample(rows: DataFrame, max_features: int) -> list:
-    """Rows with ``at`` (the buckets as bytes), in the order of a hash of these, as long as they hold ``max_features``
-    in all. Rows that are alike in ``at`` go or stay together; the driver gets no more bytes than that."""
+def bounded(rows: DataFrame, max_features: int) -> DataFrame:
+    """Rows with ``at`` (the buckets as bytes), staged, in the order of a hash of these, as long as they hold
+    ``max_features`` in all. Rows that are alike in ``at`` go or stay together."""
     rows = stash(rows.withColumn("place", F.xxhash64("at")), "features")
     sizes = sorted((r["place"], r["n"]) for r in rows.select("place", (F.length("at") / 4).cast("long").alias("n")).collect())  # two numbers a row
     total, last = 0, None
@@ -97,13 +97,18 @@ def bounded_sample(rows: DataFrame, max_features: int) -> list:
             break
         if k + 1 == len(sizes) or sizes[k + 1][0] != place:
             last = place
-    return rows.where(F.col("place") <= last).drop("place").collect() if last is not None else []
+    return rows.where(F.col("place") <= F.lit(last).cast("long")).drop("place")
+
+
+def bounded_sample(rows: DataFrame, max_features: int) -> list:
+    """The ``bounded`` rows; the driver gets no more bytes than that."""
+    return bounded(rows, max_features).collect()
 
 
-def feature_rows(
+def feature_table(
     docs: DataFrame, label: str, clean: Callable, sizes: tuple[int, ...], bits: int, pad: int = 0, repeats: bool = False, max_features: int = MAX_FEATURES
-) -> list[tuple]:
-    """(label, buckets, weights) of the rows of a bounded sample, made on the executors."""
+) -> DataFrame:
+    """(label, at, weight) of the rows of a bounded sample, made on the executors; buckets and weights as bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -111,9 +116,19 @@ def feature_rows(
             yield pd.DataFrame({"label": b["label"], "at": [x.tobytes() for x, _ in got], "weight": [y.tobytes() for _, y in got]})
 
     out = docs.select(F.col(label).cast("string").alias("label"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = bounded_sample(out.mapInPandas(run, "label string, at binary, weight binary"), max_features)
-    found = [(r["label"], np.frombuffer(r["at"], dtype=np.int32), np.frombuffer(r["weight"], dtype=np.float32)) for r in rows]
-    return sorted(found, key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))  # the same order whatever the partitions
+    return bounded(out.mapInPandas(run, "label string, at binary, weight binary"), max_features)
+
+
+def in_order(rows: list[tuple]) -> list[tuple]:
+    """(label, buckets, weights) of rows with bytes, in the same order whatever the partitions."""
+    rows.sort()
+    return [(label, np.frombuffer(at, dtype=np.int32), np.frombuffer(weight, dtype=np.float32)) for label, at, weight in rows]
+
+
+def feature_rows(docs: DataFrame, label: str, clean: Callable, sizes: tuple[int, ...], bits: int, **how) -> list[tuple]:
+    """(label, buckets, weights) of the rows of a ``feature_table``."""
+    rows = feature_table(docs, label, clean, sizes, bits, **how).collect()
+    return in_order([(r["label"], bytes(r["at"]), bytes(r["weight"])) for r in rows])
 
 
 def sampled(key: Column, fraction: float, seed: int) -> Column:

@@ -100,3 +100,16 @@ def test_texts_without_repeats_are_not_shuffled(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", own)
     assert len(got) == 240 and sum(r.lines_removed for r in got) == 4 * 5 and {r.lines_removed for r in got} == {0, 4}
     assert moved < 0.25 * size
+
+
+def test_texts_without_near_duplicates_are_not_shuffled(spark):
+    docs, size = noise(spark, 240, "")
+    twin = docs.where("doc_id = 7").selectExpr("doc_id + 1000 AS doc_id", "text || ' more' AS text")
+    docs, own = stash(docs.unionAll(twin), "docs"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = []
+        moved = written(spark, lambda: got.extend(r.doc_id for r in simhash.drop_near_duplicates(docs).select("doc_id", "text").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", own)
+    assert sorted(got) == list(range(240)) and moved < size
