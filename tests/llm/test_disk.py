@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from moneyflow.llm import common, line_dedup, simhash
+from moneyflow.llm import common, jaccard, line_dedup, simhash
 from moneyflow.llm.common import REMOVE_SHUFFLES, shared_dir, split, stash
 
 
@@ -113,3 +113,18 @@ def test_texts_without_near_duplicates_are_not_shuffled(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", own)
     assert sorted(got) == list(range(240)) and moved < size
+
+
+def test_buckets_carry_texts_and_few_shingles(spark):
+    rng = random.Random(12)
+    bases = [[f"g{g}w{rng.randrange(900)}" for _ in range(1500)] for g in range(12)]
+    rows = [(20 * g + k, " ".join(b[: 40 * k] + ["new"] + b[40 * k + 1 :])) for g, b in enumerate(bases) for k in range(12)]
+    texts, own = stash(spark.createDataFrame(rows, "node long, text string").repartition(4), "texts"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = []
+        moved = written(spark, lambda: got.extend((r.a // 20, r.b // 20) for r in jaccard.similar_links(texts, 5, 0.8).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", own)
+    assert {a for a, _ in got} == set(range(12)) and all(a == b for a, b in got)
+    assert moved < 2.5 * sum(len(t) for _, t in rows)
